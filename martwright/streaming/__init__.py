@@ -1,0 +1 @@
+"""No operators: the covered workload reads finite tables and files only."""
