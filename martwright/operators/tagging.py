@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -16,99 +17,136 @@ from martwright.functions.text import WHITESPACE_CLASS, column
 # A word character is a letter, number or underscore of any script. Spelled out,
 # because what \b and \s mean beyond ASCII differs between Java versions.
 WORD = r"[\p{L}\p{N}_]"
+GAP = r"[^a-z\p{L}\p{N}_]+"  # a-z is one of the letters; tried first, it is the quick way out
 BOUNDARY = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 
+# Patterns that only ask for one of some whole words.
+_WHOLE_WORDS = re.compile(r"\\b(?:\(([^\W_]+(?:\|[^\W_]+)*)\)|([^\W_]+))\\b")
+
 
 @dataclass(frozen=True)
 class Term:
-    """A name, its pattern, and lower-case literals of which every match holds at least one.
+    """A name, its pattern, and a first test: alternatives of lower-case whole words.
 
-    The literals are a cheap first test; with none given the pattern is always tried.
+    Every match of the pattern must hold all words of at least one alternative,
+    as whole words in any order. With none given the pattern is always tried.
     """
 
     name: str
     pattern: str
-    needles: tuple[str, ...] = ()
+    first_test: tuple[str, ...] = ()
 
     def regex(self) -> str:
-        spelled = self.pattern.replace(r"\b", BOUNDARY).replace(r"\s", WHITESPACE_CLASS)
+        # Next to a word character at the very start or end one side of \b is known.
+        spelled = re.sub(r"^\\b(?=\w)", lambda _: rf"(?<!{WORD})", self.pattern)
+        spelled = re.sub(r"(?<=\w)\\b$", lambda _: rf"(?!{WORD})", spelled)
+        spelled = spelled.replace(r"\b", BOUNDARY).replace(r"\s", WHITESPACE_CLASS)
         return "(?iu)" + spelled
 
+    def whole_words(self) -> tuple[str, ...]:
+        """The words the pattern asks for, when that is all it does; else nothing."""
+        match = _WHOLE_WORDS.fullmatch(self.pattern)
+        if not match:
+            return ()
+        words = (match[1] or match[2]).lower().split("|")
+        # Lower-casing a Greek sigma depends on its place in the word.
+        return () if any(set(word) & set("\u03c3\u03c2") for word in words) else tuple(words)
+
+    def alternatives(self) -> list[list[str]]:
+        return [words.split() for words in self.whole_words() or self.first_test]
+
 
-def word_taxonomy(words: Iterable[str]) -> list[Term]:
-    """One term per whole word (or phrase)."""
-    return [Term(word, rf"\b\Q{word}\E\b", (word.lower(),)) for word in words]
+def word_taxonomy(phrases: Iterable[str]) -> list[Term]:
+    """One term per whole word or phrase of words."""
+    return [Term(phrase, rf"\b{phrase}\b", (phrase.lower(),)) for phrase in phrases]
 
 
-# Needles of the fixed skill patterns whose name, in lower case, is not itself the needle.
-_SKILL_NEEDLES = {
-    "R": ("r programming", "r language", "r skills", "r for"),
+# First tests of the fixed skill patterns that ask for more than whole words.
+_SKILL_FIRST_TESTS = {
+    "R": ("r",),
+    "Java": ("java",),
+    "Power BI": ("power bi",),
+    "Qlik": ("qlik", "qlikview", "qliksense"),
     "AWS": ("aws", "amazon web services"),
     "GCP": ("gcp", "google cloud"),
-    "SQL Server": ("sql",),
-    "PostgreSQL": ("postgres",),
-    "Data Modeling": ("data model",),
-    "Data Warehouse": ("warehouse",),
-    "Data Lake": ("lake",),
-    "Data Lakehouse": ("lakehouse",),
-    "Star Schema": ("schema",),
-    "Dimensional Modeling": ("dimensional",),
-    "Machine Learning": ("machine learning", "ml"),
-    "Statistics": ("statistic",),
-    "Data Governance": ("governance",),
-    "Data Quality": ("quality",),
-    "Data Catalog": ("catalog",),
-    "Lineage": ("lineage",),
-    "Agile": ("agile", "scrum", "kanban"),
-    "KPIs": ("kpi", "key performance indicator"),
-    "Data Pipeline": ("pipeline",),
-    "Dashboards": ("dashboard",),
-    "Reporting": ("report",),
-    "Business Intelligence": ("business intelligence", "bi"),
+    "Airflow": ("airflow",),
+    "Spark": ("spark", "pyspark"),
+    "SQL Server": ("sql server", "mssql", "microsoft sql"),
+    "Data Modeling": ("data model", "data modeling", "data modeler"),
+    "Data Warehouse": ("data warehouse",),
+    "Data Lake": ("data lake",),
+    "Data Lakehouse": ("data lakehouse",),
+    "Star Schema": ("star schema",),
+    "Dimensional Modeling": ("dimensional model", "dimensional modeling"),
+    "Machine Learning": ("machine", "ml"),
+    "Statistics": ("statistics", "statistical analysis"),
+    "Data Governance": ("data governance",),
+    "Data Quality": ("data quality",),
+    "Data Catalog": ("data catalog",),
+    "Lineage": ("data lineage",),
+    "KPIs": ("kpi", "kpis", "key performance"),
+    "Data Pipeline": ("data pipeline",),
+    "Reporting": ("reporting", "report", "reports"),
+    "Business Intelligence": ("business", "bi"),
 }
 
 
 def skill_taxonomy() -> list[Term]:
     """The fixed skill patterns."""
     return [
-        Term(name, pattern, _SKILL_NEEDLES.get(name, (name.lower(),)))
+        Term(name, pattern, _SKILL_FIRST_TESTS.get(name, ()))
         for name, pattern in fixed.SKILL_PATTERNS.items()
     ]
 
 
-def _folded(text: Column) -> Column:
-    """Lower case, with the four letters that fold to ASCII in a regex but not in `lower`."""
-    plain = F.octet_length(text) == F.length(text)
-    return F.when(plain, F.lower(text)).otherwise(
-        F.lower(F.translate(text, "\u0130\u0131\u017f\u212a", "iisk"))
-    )
+# Letters that fold to ASCII in a case-blind search but not in `lower`.
+_FOLDING = "\u0130\u0131\u017f\u212a"
+
+
+def _words(text: Column) -> Column:
+    """The lower-case words of a text."""
+    folds = F.lit(False)
+    for letter in _FOLDING:
+        folds = folds | text.contains(letter)
+    lower = F.when(folds, F.lower(F.translate(text, _FOLDING, "iisk")))
+    return F.split(lower.otherwise(F.lower(text)), GAP)
 
 
 def tag_terms(df: DataFrame, text: str, taxonomy: Iterable[Term], out: str = "terms") -> DataFrame:
     """The names of the patterns found in a text, in taxonomy order, each once.
 
-    One narrow pass over the whole text: a pattern runs only where one of its
-    literals occurs. No shuffle and no Python.
+    One narrow pass over the whole text, without Python. The text is cut into
+    words once and met with the words of the taxonomy, so the cost hardly grows
+    with the number of terms: whole words are settled by that, and any other
+    pattern runs only on texts that pass its first test.
     """
+    taxonomy = list(taxonomy)
+    wanted = sorted({w for term in taxonomy for words in term.alternatives() for w in words})
+    vocabulary = F.array(*(F.lit(word) for word in wanted))
     hits = []
     for term in taxonomy:
-        found = F.col(text).rlike(term.regex())
-        if term.needles:
-            may = F.col("_folded").contains(term.needles[0])
-            for needle in term.needles[1:]:
-                may = may | F.col("_folded").contains(needle)
-            found = may & found
-        hits.append(F.when(found, F.lit(term.name)))
+        maybe = F.lit(False)
+        for words in term.alternatives():
+            all_words = F.lit(True)
+            for word in words:
+                all_words = all_words & F.array_contains("_found", word)
+            maybe = maybe | all_words
+        if not term.whole_words():
+            found = F.col(text).rlike(term.regex())
+            maybe = maybe & found if term.first_test else found
+        hits.append(F.when(maybe, F.lit(term.name)))
     return (
-        df.withColumn("_folded", _folded(F.col(text)))
+        df.withColumn("_found", F.array_intersect(vocabulary, _words(F.col(text))))
         .withColumn(out, F.array_compact(F.array(*hits)))
-        .drop("_folded")
+        .drop("_found")
     )
 
 
 def term_pairs(df: DataFrame, keep: list[str], terms: str = "terms", out: str = "term") -> DataFrame:
     """One row per document and term."""
-    return df.select(*keep, F.explode(terms).alias(out))
+    # The outer form, because for the plain one Spark adds a filter on the size of
+    # the array below, which would tag every text a second time.
+    return df.select(*keep, F.explode_outer(terms).alias(out)).filter(F.col(out).isNotNull())
 
 
 def term_frequency(df: DataFrame, terms: str = "terms") -> DataFrame:
@@ -119,7 +157,7 @@ def term_frequency(df: DataFrame, terms: str = "terms") -> DataFrame:
     """
     documents = df.agg(F.count(F.lit(1))).scalar()
     return (
-        df.select(F.explode(terms).alias("term"))
+        term_pairs(df, [], terms)
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("frequency"))
         .withColumn("pct_of_posts", pct("frequency", documents))
