@@ -37,6 +37,9 @@ class Term:
     first_test: tuple[str, ...] = ()
 
     def regex(self) -> str:
+        phrase = re.fullmatch(r"\\b(\w[\w ]*\w)\\b", self.pattern)
+        if phrase:  # the literal first: most places in a text fail on its first letter
+            return rf"(?iu){phrase[1]}(?!{WORD})(?<!{WORD}{phrase[1]})"
         # Next to a word character at the very start or end one side of \b is known.
         spelled = re.sub(r"^\\b(?=\w)", lambda _: rf"(?<!{WORD})", self.pattern)
         spelled = re.sub(r"(?<=\w)\\b$", lambda _: rf"(?!{WORD})", spelled)
@@ -136,8 +139,8 @@ def tag_terms(df: DataFrame, text: str, taxonomy: Iterable[Term], out: str = "te
             maybe = maybe & found if term.first_test else found
         hits.append(F.when(maybe, F.lit(term.name)))
     return (
-        df.withColumn("_found", F.array_intersect(vocabulary, _words(F.col(text))))
-        .withColumn(out, F.array_compact(F.array(*hits)))
+        df.withColumn("_found", F.array_intersect(_words(F.col(text)), vocabulary))
+        .withColumn(out, F.array_except(F.array(*hits), F.array(F.lit(None).cast("string"))))
         .drop("_found")
     )
 

@@ -17,6 +17,8 @@ def build_session(app: str = "martwright", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Recording the call site of every Column makes building a plan several times slower.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
