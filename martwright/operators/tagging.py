@@ -122,27 +122,36 @@ def tag_terms(df: DataFrame, text: str, taxonomy: Iterable[Term], out: str = "te
     words once and met with the words of the taxonomy, so the cost hardly grows
     with the number of terms: whole words are settled by that, and any other
     pattern runs only on texts that pass its first test.
+
+    Spark moves a later filter on the terms below this step and so tags twice;
+    to filter on them, write the tagged table first.
     """
     taxonomy = list(taxonomy)
     wanted = sorted({w for term in taxonomy for words in term.alternatives() for w in words})
     vocabulary = F.array(*(F.lit(word) for word in wanted))
+    found = F.concat_ws(" ", F.array_intersect(_words(F.col(text)), vocabulary))
+    # The words found stand in the expression once, bound to the lambda's
+    # argument: as a column of their own Spark may copy them into every test.
+    once = F.array(F.concat(F.lit(" "), found, F.lit(" ")))
+    terms = F.transform(once, lambda words: _names(words, F.col(text), taxonomy))
+    return df.withColumn(out, F.get(terms, F.lit(0)))
+
+
+def _names(words: Column, text: Column, taxonomy: list[Term]) -> Column:
+    """Names of the terms that hold, given the taxonomy words found in the text."""
     hits = []
     for term in taxonomy:
         maybe = F.lit(False)
-        for words in term.alternatives():
+        for alternative in term.alternatives():
             all_words = F.lit(True)
-            for word in words:
-                all_words = all_words & F.array_contains("_found", word)
+            for word in alternative:
+                all_words = all_words & words.contains(f" {word} ")
             maybe = maybe | all_words
         if not term.whole_words():
-            found = F.col(text).rlike(term.regex())
-            maybe = maybe & found if term.first_test else found
+            matches = text.rlike(term.regex())
+            maybe = maybe & matches if term.first_test else matches
         hits.append(F.when(maybe, F.lit(term.name)))
-    return (
-        df.withColumn("_found", F.array_intersect(_words(F.col(text)), vocabulary))
-        .withColumn(out, F.array_except(F.array(*hits), F.array(F.lit(None).cast("string"))))
-        .drop("_found")
-    )
+    return F.array_except(F.array(*hits), F.array(F.lit(None).cast("string")))
 
 
 def term_pairs(df: DataFrame, keep: list[str], terms: str = "terms", out: str = "term") -> DataFrame:
