@@ -36,13 +36,14 @@ def share_metrics(
 ) -> DataFrame:
     """Per item (`keep`, which holds the category): volume share of its category, distribution
     (share of all states it sold in) and velocity (volume per point of distribution)."""
-    per_item = fact.groupBy(*keep).agg(
-        F.sum(qty).alias("cases"), F.count_distinct(state).alias("states_sold")
+    # Both totals below start from these rows, so the joins behind the fact and the
+    # first shuffle run once (Spark reuses the exchange).
+    per_state = fact.groupBy(*keep, F.col(state).alias("_state")).agg(F.sum(qty).alias("_cases"))
+    per_item = per_state.groupBy(*keep).agg(
+        F.sum("_cases").alias("cases"), F.count("_state").alias("states_sold")
     )
-    # The totals have one row per category; adding them up again from the fact
-    # rows would repeat its joins, so they come from the grouped rows.
-    totals = per_item.groupBy(F.col(category).alias("_category")).agg(
-        F.sum("cases").alias("_total")
+    totals = per_state.groupBy(F.col(category).alias("_category")).agg(
+        F.sum("_cases").alias("_total")
     )
     all_states = states.agg(F.count(F.lit(1))).scalar()
     return (

@@ -361,7 +361,8 @@ def contains_flags(spark, folder):
 @register
 def term_tags(spark, folder):
     """The terms of each text as a delimited list, and their number."""
-    return roles.posts(spark, folder).select(
+    raw = roles.raw_posts(spark, folder)
+    return tag_terms(raw, "description", roles.TAXONOMY).select(
         "post_id",
         join_list("terms").alias("terms"),
         list_size(join_list("terms")).alias("term_count"),
@@ -399,7 +400,7 @@ def urgency_terms(spark, folder):
 def term_category(spark, folder):
     """Each distinct term of the posts with its category."""
     return (
-        term_frequency(roles.posts(spark, folder))
+        term_frequency(roles.tagged_texts(spark, folder))
         .withColumn("term_category", set_ladder("term", roles.WORDS, roles.DEFAULT_WORD_CATEGORY))
         .select("term", "term_category")
     )
@@ -593,7 +594,7 @@ def department_mart_ext(spark, folder):
 
 @register
 def dept_seniority(spark, folder):
-    posts = roles.posts(spark, folder)
+    posts = roles.untagged_posts(spark, folder)
     return marts.cross_counts(posts, "department", "seniority").orderBy(
         F.desc("Count"), "department", "seniority"
     )
@@ -601,7 +602,7 @@ def dept_seniority(spark, folder):
 
 @register
 def seniority_split(spark, folder):
-    posts = roles.posts(spark, folder)
+    posts = roles.untagged_posts(spark, folder)
     return share_of_total(posts, ["seniority"], "post_count", "pct").orderBy(
         F.desc("post_count"), "seniority"
     )
@@ -609,7 +610,7 @@ def seniority_split(spark, folder):
 
 @register
 def work_mode(spark, folder):
-    return marts.work_mode(roles.posts(spark, folder), "is_remote", "is_hybrid")
+    return marts.work_mode(roles.untagged_posts(spark, folder), "is_remote", "is_hybrid")
 
 
 @register
@@ -620,12 +621,12 @@ def list_size_stats(spark, folder):
 
 @register
 def q_term_frequency(spark, folder):
-    return term_frequency(roles.posts(spark, folder))
+    return term_frequency(roles.tagged_texts(spark, folder))
 
 
 @register
 def q_term_pairs(spark, folder):
-    return term_pairs(roles.posts(spark, folder), ["post_id", "title"])
+    return term_pairs(roles.tagged_texts(spark, folder), ["post_id", "title"])
 
 
 @register
@@ -666,7 +667,7 @@ def top_chart_terms(spark, folder):
 
 @register
 def top_term(spark, folder):
-    terms = term_frequency(roles.posts(spark, folder))
+    terms = term_frequency(roles.tagged_texts(spark, folder))
     best = F.min_by(F.struct("term", "frequency", "pct_of_posts"), F.struct(-F.col("frequency"), "term"))
     return terms.agg(best.alias("_best")).select("_best.*")
 
@@ -818,7 +819,7 @@ def clean_posts(spark, folder):
 
 @register
 def clean_terms(spark, folder):
-    frequency = term_frequency(roles.posts(spark, folder)).select(
+    frequency = term_frequency(roles.tagged_texts(spark, folder)).select(
         "term", F.col("frequency").cast("string"), F.col("pct_of_posts").cast("string")
     )
     return silver.clean_terms(

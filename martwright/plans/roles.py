@@ -109,13 +109,15 @@ def raw_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """Items as loaded: canonical category and flags, every row kept."""
+    category = map_value(F.lower(strip("category")), ITEM_CATEGORIES, fixed.DEFAULT_CATEGORY)
     return (
         raw_items(spark, folder)
-        .withColumn("item_name", title_case(strip("item_name")))
-        .withColumn("category_raw", F.col("category"))
-        .withColumn(
-            "category",
-            map_value(F.lower(strip("category")), ITEM_CATEGORIES, fixed.DEFAULT_CATEGORY),
+        .withColumns(
+            {
+                "item_name": title_case(strip("item_name")),
+                "category_raw": F.col("category"),
+                "category": category,
+            }
         )
         .withColumn("is_spirits", in_set("category", CORE_CATEGORIES))
     )
@@ -199,24 +201,36 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def posts(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts as loaded, every row kept, with the array of terms found in the text."""
-    raw = raw_posts(spark, folder)
-    return (
-        tag_terms(raw, "description", TAXONOMY)
-        .withColumn("title", strip("title"))
-        .withColumn("posted_date", to_date_lenient("posted_date", AS_OF.date()))
-        .withColumn("is_remote", contains_flag("location", "en"))
-        .withColumn("is_hybrid", contains_flag("location", "fr"))
-        .withColumn("term_count", F.size("terms"))
-        .withColumn("seniority", keyword_ladder("title", LEVEL_RULES, fixed.DEFAULT_SENIORITY))
+def untagged_posts(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts as loaded, every row kept, without their terms."""
+    return raw_posts(spark, folder).withColumns(
+        {
+            "title": strip("title"),
+            "posted_date": to_date_lenient("posted_date", AS_OF.date()),
+            "is_remote": contains_flag("location", "en"),
+            "is_hybrid": contains_flag("location", "fr"),
+            "seniority": keyword_ladder("title", LEVEL_RULES, fixed.DEFAULT_SENIORITY),
+        }
     )
 
 
+def posts(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts as loaded, with the array of terms found in the text."""
+    tagged = tag_terms(untagged_posts(spark, folder), "description", TAXONOMY)
+    return tagged.withColumn("term_count", F.size("terms"))
+
+
+def tagged_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts with nothing but their id, title and terms worked out."""
+    raw = raw_posts(spark, folder).select("post_id", strip("title").alias("title"), "description")
+    return tag_terms(raw, "description", TAXONOMY)
+
+
 def terms(spark: SparkSession, folder: str) -> DataFrame:
     """The term table of the posts."""
+    tagged = tagged_texts(spark, folder)
     return term_table(
-        posts(spark, folder), "terms", WORD_TIERS, fixed.TIER_4, WORDS, DEFAULT_WORD_CATEGORY
+        tagged, "terms", WORD_TIERS, fixed.TIER_4, WORDS, DEFAULT_WORD_CATEGORY
     )
 
 

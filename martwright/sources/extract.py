@@ -25,14 +25,16 @@ def extract_cards(
 
     `card_pattern` and each field pattern name their content by group 1. A field
     that is missing takes its default (a text or a column of the page); cards
-    without a `required` field are dropped. Narrow: no shuffle, no Python.
+    without a `required` field are dropped. Narrow: no shuffle, no Python. (The outer
+    explode, because for the plain one Spark adds a size filter below that runs the
+    pattern a second time.)
     """
     cards = pages.select(
         *pages.columns,
-        F.posexplode(F.regexp_extract_all(F.col(html), F.lit(card_pattern), F.lit(1))).alias(
+        F.posexplode_outer(F.regexp_extract_all(F.col(html), F.lit(card_pattern), F.lit(1))).alias(
             "card_no", "_card"
         ),
-    )
+    ).filter(F.col("card_no").isNotNull())
     fields = []
     for name, pattern in field_patterns.items():
         value = F.nullif(html_text(F.regexp_extract("_card", pattern, 1)), F.lit(""))
@@ -64,7 +66,7 @@ def mine_title_lines(
         F.col(doc_id).alias("doc_id"),
         column(source).alias("source_url"),
         strip(F.substring(F.col(text), 1, description_chars)).alias("description"),
-        F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))).alias(
+        F.posexplode_outer(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))).alias(
             "_pos", "_line"
         ),
     ).withColumn("title", strip("_line"))
