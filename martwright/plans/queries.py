@@ -110,7 +110,7 @@ def source_fallback(spark, folder):
 def page_cards(spark, folder):
     """The article of each page as a record."""
     return extract_cards(
-        roles.table(spark, folder, "pages"),
+        roles.pages(spark, folder),
         "html",
         ["page_id"],
         r"(?s)<article>(.*?)</article>",
@@ -129,7 +129,7 @@ def page_cards(spark, folder):
 def page_links(spark, folder):
     """The navigation entries of each page as records; entries without a name are dropped."""
     return extract_cards(
-        roles.table(spark, folder, "pages"),
+        roles.pages(spark, folder),
         "html",
         ["page_id"],
         r"(?s)<li>(.*?)</li>",
@@ -142,7 +142,7 @@ def page_links(spark, folder):
 @register
 def title_lines(spark, folder):
     return mine_title_lines(
-        roles.table(spark, folder, "documents"), "text", "doc_id", "source",
+        roles.documents(spark, folder), "text", "doc_id", "source",
         roles.TITLE_PATTERN, roles.TITLE_WORDS,
     )
 
@@ -361,8 +361,7 @@ def contains_flags(spark, folder):
 @register
 def term_tags(spark, folder):
     """The terms of each text as a delimited list, and their number."""
-    raw = roles.raw_posts(spark, folder)
-    return tag_terms(raw, "description", roles.TAXONOMY).select(
+    return roles.tagged_texts(spark, folder).select(
         "post_id",
         join_list("terms").alias("terms"),
         list_size(join_list("terms")).alias("term_count"),
@@ -810,7 +809,8 @@ def clean_sites(spark, folder):
 @register
 def clean_posts(spark, folder):
     """Tag the raw texts, then clean."""
-    raw = tag_terms(roles.raw_posts(spark, folder), "description", roles.TAXONOMY)
+    raw = roles.raw_posts(spark, folder, roles.documents(spark, folder))
+    raw = tag_terms(raw, "description", roles.TAXONOMY)
     return silver.clean_posts(
         raw.withColumn("terms", join_list("terms")), roles.AS_OF, roles.LEVEL_RULES,
         remote_word="en", hybrid_word="fr", state_pattern=r"^([a-z])",

@@ -19,7 +19,7 @@ from martwright.functions import (
     to_date_lenient,
 )
 from martwright.operators.lookup import map_value
-from martwright.operators.tagging import tag_terms, term_table, word_taxonomy
+from martwright.operators.tagging import spread_small, tag_terms, term_table, word_taxonomy
 
 AS_OF = dt.datetime(2026, 1, 1)
 SOURCE = "given tables"
@@ -185,12 +185,23 @@ def sites_with_year(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.join(first, loaded.site_id == first.o_custkey, "left").drop("o_custkey")
 
 
-def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents, for heavy work on their texts."""
+    return spread_small(table(spark, folder, "documents"), "doc_id")
+
+
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages, for heavy work on their texts."""
+    return spread_small(table(spark, folder, "pages"), "page_id")
+
+
+def raw_posts(spark: SparkSession, folder: str, docs: DataFrame | None = None) -> DataFrame:
     """Posts before cleaning. The date text is made from the numbers of a document and is
     not a date for every one of them."""
+    docs = table(spark, folder, "documents") if docs is None else docs
     month = F.lpad((F.col("n_chars") % 14).cast("string"), 2, "0")
     day = F.lpad((F.col("doc_id") % 31).cast("string"), 2, "0")
-    return table(spark, folder, "documents").select(
+    return docs.select(
         F.col("doc_id").alias("post_id"),
         F.substring_index("text", "\n", 1).alias("title"),
         F.col("source").alias("department"),
@@ -201,9 +212,11 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def untagged_posts(spark: SparkSession, folder: str) -> DataFrame:
+def untagged_posts(
+    spark: SparkSession, folder: str, docs: DataFrame | None = None
+) -> DataFrame:
     """Posts as loaded, every row kept, without their terms."""
-    return raw_posts(spark, folder).withColumns(
+    return raw_posts(spark, folder, docs).withColumns(
         {
             "title": strip("title"),
             "posted_date": to_date_lenient("posted_date", AS_OF.date()),
@@ -216,13 +229,16 @@ def untagged_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
     """Posts as loaded, with the array of terms found in the text."""
-    tagged = tag_terms(untagged_posts(spark, folder), "description", TAXONOMY)
+    untagged = untagged_posts(spark, folder, documents(spark, folder))
+    tagged = tag_terms(untagged, "description", TAXONOMY)
     return tagged.withColumn("term_count", F.size("terms"))
 
 
 def tagged_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Posts with nothing but their id, title and terms worked out."""
-    raw = raw_posts(spark, folder).select("post_id", strip("title").alias("title"), "description")
+    raw = raw_posts(spark, folder, documents(spark, folder)).select(
+        "post_id", strip("title").alias("title"), "description"
+    )
     return tag_terms(raw, "description", TAXONOMY)
 
 
