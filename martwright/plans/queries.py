@@ -18,6 +18,7 @@ from martwright.functions import (
     join_list,
     keyword_ladder,
     list_size,
+    month_parts,
     month_spine,
     set_ladder,
     split_shares,
@@ -686,10 +687,11 @@ def tier1_terms(spark, folder):
 
 @register
 def volume_trend(spark, folder):
-    trend = volumes.volume_trend(
-        roles.volumes(spark, folder), gold.TREND_KEYS, gold.TREND_MEASURES
-    )
-    return trend.orderBy("item", "year", "month", "price_tier")
+    """Monthly totals per item and price tier; the label is made from the grouped months."""
+    keys = [key for key in gold.TREND_KEYS if key != "month_label"]
+    trend = volumes.volume_trend(roles.volumes(spark, folder), keys, gold.TREND_MEASURES)
+    label = month_parts(F.make_date("year", "month", F.lit(1)))["month_label"]
+    return trend.withColumn("month_label", label).orderBy("item", "year", "month", "price_tier")
 
 
 @register

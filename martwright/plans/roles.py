@@ -251,23 +251,22 @@ def terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fact(line: DataFrame, part: DataFrame) -> DataFrame:
+    # What a line takes from its part is worked out per part, before the join.
+    sold = part.select(
+        "p_partkey",
+        F.col("p_brand").alias("item"),
+        map_value(F.lower("p_type"), ITEM_CATEGORIES, fixed.DEFAULT_CATEGORY).alias("category"),
+        threshold_ladder("p_retailprice", PRICE_TIERS, DEFAULT_PRICE_TIER).alias("price_tier"),
+    )
     on_premise = F.col("l_returnflag").isin(ON_PREMISE_FLAGS)
     cases = F.col("l_quantity").cast("bigint")
-    return (
-        line.join(part, line.l_partkey == part.p_partkey)
-        .withColumns(month_parts("l_shipdate"))
-        .withColumns(
-            {
-                "item": F.col("p_brand"),
-                "category": map_value(
-                    F.lower("p_type"), ITEM_CATEGORIES, fixed.DEFAULT_CATEGORY
-                ),
-                "price_tier": threshold_ladder("p_retailprice", PRICE_TIERS, DEFAULT_PRICE_TIER),
-                "total_cases": cases,
-                "on_premise": F.when(on_premise, cases).otherwise(0),
-                "off_premise": F.when(on_premise, 0).otherwise(cases),
-            }
-        )
+    return line.join(sold, line.l_partkey == sold.p_partkey).withColumns(
+        {
+            **month_parts("l_shipdate"),
+            "total_cases": cases,
+            "on_premise": F.when(on_premise, cases).otherwise(0),
+            "off_premise": F.when(on_premise, 0).otherwise(cases),
+        }
     )
 
 
