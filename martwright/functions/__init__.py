@@ -1,4 +1,4 @@
-from martwright.functions.dates import month_parts, month_spine, to_date_lenient
+from martwright.functions.dates import month_parts, month_spine, time_literal, to_date_lenient
 from martwright.functions.ladders import (
     flag_label,
     in_set,
@@ -41,6 +41,7 @@ __all__ = [
     "split_shares",
     "strip",
     "threshold_ladder",
+    "time_literal",
     "title_case",
     "to_date_lenient",
     "to_number",

@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from martwright.functions.text import column
 
 
+def time_literal(at: dt.datetime | None) -> Column:
+    """A point in time as `timestamp_ntz`, in UTC if it knows its zone.
+
+    Made from text, since a timestamp literal would depend on the session's time zone.
+    """
+    if at is not None and at.tzinfo is not None:
+        at = at.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(at.isoformat() if at is not None else None).cast("timestamp_ntz")
+
+
 def to_date_lenient(c: Column | str, default: dt.date | Column | None = None) -> Column:
     """Text as a date, `default` when it is not one."""
     parsed = column(c).try_cast("date")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright import fixed
+from martwright.functions.dates import time_literal
 from martwright.operators.dedupe import duplicate_count
 from martwright.sources.specs import TableSpec
 
@@ -85,7 +86,7 @@ def dq_checks(
     )
     return found.select(
         F.lit(table).alias("table_name"),
-        F.lit(checked_at).cast("timestamp_ntz").alias("checked_at"),
+        time_literal(checked_at).alias("checked_at"),
         rows.alias("total_rows"),
         F.inline(records),
     )

@@ -73,9 +73,6 @@ def _number(value: str) -> str:
     )
 
 
-_INT = "CAST(sum({}) AS BIGINT)"
-
-
 def _isum(value: str) -> str:
     return f"CAST(sum({value}) AS BIGINT)"
 

@@ -25,6 +25,7 @@ from martwright.functions import (
     set_ladder,
     strip,
     threshold_ladder,
+    time_literal,
     title_case,
     to_date_lenient,
     to_number,
@@ -35,7 +36,7 @@ from martwright.operators.lookup import map_lookup, map_value
 
 def with_audit(df: DataFrame, as_of: dt.datetime, source: str | None = None) -> DataFrame:
     """Run time and, if given, source as constant columns."""
-    df = df.withColumn("processed_at", F.lit(as_of).cast("timestamp_ntz"))
+    df = df.withColumn("processed_at", time_literal(as_of))
     return df.withColumn("data_source", F.lit(source)) if source is not None else df
 
 

@@ -22,6 +22,7 @@ from martwright.functions import (
     split_shares,
     strip,
     threshold_ladder,
+    time_literal,
     title_case,
     to_date_lenient,
     to_number,
@@ -96,6 +97,17 @@ def test_dates(one, spark):
     assert (labels[0], labels[-1], len(labels)) == ("Apr 2025", "Mar 2026", 12)
 
 
+def test_time_literal_does_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    at = dt.datetime(2026, 1, 1, 12, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = spark.range(1).select(time_literal(at), time_literal(None)).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(row) == (dt.datetime(2026, 1, 1, 10), None)
+
+
 def test_codes_and_flags(one):
     assert one(
         extract_code("c", fixed.STATE_PATTERN), "Louisville, KY (Hybrid)", "Remote", None
