@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import quality
+from martwright.llm import language_id, quality
 from martwright.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
     )
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs, bucket_of("doc_id", 4) != 2)
+    return language_id.identify(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        F.coalesce(bucket_of("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        F.size("spans").alias("n_spans"),
+    )
