@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import language_id, quality, simhash
+from martwright.llm import decontaminate, language_id, quality, simhash
 from martwright.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash.group(table(spark, sf_dir, "documents"), width=3, most=2)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return grouped.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op8_decontaminate")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.overlaps(docs, benchmark)
