@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import decontaminate, language_id, quality, simhash
+from martwright.llm import decontaminate, language_id, quality, sentence_pieces, simhash
 from martwright.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.overlaps(docs, benchmark)
+
+
+#: Vocabulary file of the queries.
+PIECES = "piece_bpe_32k.model"
+
+
+def piece_model(name: str = PIECES) -> bytes:
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_bytes()
+
+
+@query("op4_sentence_pieces")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_model()
+    encoded = sentence_pieces.encode(
+        table(spark, sf_dir, "documents"), model, keep=["doc_id", "text"]
+    )
+    decoded = sentence_pieces.decode(encoded, model, keep=["doc_id", "text", "ids"])
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return decoded.select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), same.alias("round_trip")
+    )
