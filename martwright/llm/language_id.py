@@ -289,9 +289,13 @@ def _counts(name: str, kind: int, counts: np.ndarray) -> pa.RecordBatch:
 
 
 def identify(
-    docs: DataFrame, model: LangModel, text: str = "text", keep: list[str] | None = None
+    docs: DataFrame,
+    model: LangModel,
+    text: str = "text",
+    keep: list[str] | None = None,
+    out: tuple[str, str, str] = ("lang_pred", "score", "spans"),
 ) -> DataFrame:
-    """Add `lang_pred`, `score` and `spans` (array of start, stop, lang in characters)."""
+    """Add language, score and spans (array of start, stop, lang in characters)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets times languages
 
     def make():
@@ -312,7 +316,7 @@ def identify(
 
     return common.append(
         docs, [text],
-        "lang_pred string, score double, spans array<struct<start:int,stop:int,lang:string>>",
+        "{} string, {} double, {} array<struct<start:int,stop:int,lang:string>>".format(*out),
         make, keep,
     )
 

@@ -39,7 +39,7 @@ class FMParams:
     bins: int = 16  # per structure statistic
     rank: int = 8
     train_rows: int = 5000  # bound of the labelled sample
-    epochs: int = 6
+    steps: int = 240  # of gradient descent, however few the rows
     batch: int = 128
     rate: float = 0.05
     decay: float = 1e-4
@@ -192,7 +192,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], params: FMPa
     stat_ids = binned(stats, edges, params)
     model.bias = float(np.log(labels.mean() / (1 - labels.mean())))
     seen_w, seen_v = np.full(size, 1e-6, np.float32), np.full(model.factors.shape, 1e-6, np.float32)
-    for _ in range(params.epochs):
+    rounds = -(-params.steps * min(params.batch, len(rows)) // len(rows))
+    for _ in range(rounds):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), params.batch):
             chosen = order[at : at + params.batch]
@@ -282,8 +283,9 @@ def score(
     text: str = "text",
     stated: str = "n_chars",
     keep: list[str] | None = None,
+    out: str = "score",
 ) -> DataFrame:
-    """Add `score` (0 to 1, higher: better) to every row."""
+    """Add `out` (0 to 1, higher: better) to every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size fixed by FMParams
 
     def make():
@@ -300,4 +302,4 @@ def score(
 
         return work
 
-    return common.append(docs, [text, stated], "score double", make, keep)
+    return common.append(docs, [text, stated], f"{out} double", make, keep)

@@ -62,9 +62,13 @@ def fingerprint(text: str, width: int = 3) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, width: int = 3, text: str = "text", keep: list[str] | None = None
+    docs: DataFrame,
+    width: int = 3,
+    text: str = "text",
+    keep: list[str] | None = None,
+    out: str = "fp",
 ) -> DataFrame:
-    """Add `fp`, the fingerprint as a signed long."""
+    """Add `out`, the fingerprint as a signed long."""
 
     def make():
         def work(texts):
@@ -73,7 +77,7 @@ def fingerprints(
 
         return work
 
-    return common.append(docs, [text], "fp long", make, keep)
+    return common.append(docs, [text], f"{out} long", make, keep)
 
 
 # -- the index inside one node -------------------------------------------------------------
@@ -254,18 +258,36 @@ def links(codes: DataFrame, most: int = 2, leaf: int = LEAF) -> DataFrame:
             return found
 
 
+def _named(marked: DataFrame, key: str, most: int) -> DataFrame:
+    """Rows (fp, component_id) for every fingerprint of `marked` (key, fp)."""
+    codes = common.written(marked.groupBy("fp").agg(F.min(key).alias("least")), "simhash-codes")
+    linked = components(links(codes, most))
+    rooted = codes.join(linked, codes["fp"] == linked["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rooted.join(first, "root").select("fp", "component_id")
+
+
 def group(
     docs: DataFrame, width: int = 3, most: int = 2, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Rows (key, fp, component_id): the smallest key reachable over links."""
     marked = common.written(fingerprints(docs, width, text, [key]), "simhash")
-    codes = common.written(
-        marked.groupBy("fp").agg(F.min(key).alias("least")), "simhash-codes"
+    return marked.join(_named(marked, key, most), "fp").select(key, "fp", "component_id")
+
+
+def deduplicate(
+    docs: DataFrame, width: int = 3, most: int = 2, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The document of the smallest key of each component (one row, if rows repeat a key)."""
+    marked = fingerprints(docs, width, text, out="__fp")
+    marked = common.written(
+        marked.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows"
     )
-    linked = components(links(codes, most))
-    rooted = codes.join(linked, codes["fp"] == linked["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "__row")
+    rows = marked.select(F.col("__fp").alias("fp"), "__row", order.alias("order"))
+    first = rows.join(_named(rows, "order", most), "fp").filter(
+        F.col("order")["__row"] == F.col("component_id")["__row"]
     )
-    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(first, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(key, "fp", "component_id")
+    return marked.join(first.select("__row"), "__row", "left_semi").select(*docs.columns)
