@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import decontaminate, language_id, quality, sentence_pieces, simhash
+from martwright.llm import decontaminate, language_id, neighbours, quality, sentence_pieces, simhash, url_filter
 from martwright.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,68 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), same.alias("round_trip")
     )
+
+
+@query("op5_neighbours")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLE_SQL["op5_neighbours"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n AS (
+  SELECT DISTINCT vec_id, e FROM v
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_dot_product(q.e, c.e)
+      / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS score
+  FROM n q JOIN n c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query("op6_url_filter")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"])
+
+
+ORACLE_SQL["op6_url_filter"] = r"""
+WITH u AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages
+), f AS (
+  SELECT *, CASE
+    WHEN starts_with(path, '/en/') AND ends_with('.' || host, '.www.example.com')
+      THEN 'www.example.com/en/'
+    WHEN starts_with(path, '/en/') AND ends_with('.' || host, '.example.com')
+      THEN 'example.com/en/'
+    WHEN starts_with(path, '/es/') AND ends_with('.' || host, '.net') THEN 'net/es/'
+    WHEN starts_with(path, '/fr/') AND ends_with('.' || host, '.net') THEN 'net/fr/'
+    WHEN starts_with(path, '/') AND ends_with('.' || host, '.com') THEN 'com/'
+  END AS rule FROM u
+)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+  WHEN rule IS NOT NULL OR host = '' THEN 'block' ELSE 'allow' END AS verdict
+FROM f
+"""
