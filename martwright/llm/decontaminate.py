@@ -24,6 +24,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martwright.llm import common
+
 #: Places of the window that a mask looks at; all masks span SPAN words.
 MASKS = ((0, 1, 3, 4, 7), (0, 2, 3, 6, 7), (0, 1, 4, 5, 7))
 SPAN = 8
@@ -36,27 +38,32 @@ def words_of(text: str) -> Column:
     return F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+")
 
 
-def _seeds(words: Column, stride: int) -> Column:
-    """Hashes of all masks, mask after mask, at every `stride`-th window."""
-    starts = F.when(
-        F.size(words) >= SPAN, F.sequence(F.lit(0), F.size(words) - SPAN, F.lit(stride))
-    ).otherwise(F.array().cast("array<int>"))
+def _starts(words: Column, stride: int) -> Column:
+    """Places of the windows."""
+    places = F.sequence(F.lit(0), F.size(words) - SPAN, F.lit(stride))
+    return F.when(F.size(words) >= SPAN, places).otherwise(F.array().cast("array<int>"))
+
+
+def _seed(words: Column, number: int, place: Column) -> Column:
+    """Hash of the words that a mask picks from the window at a place."""
+    return F.xxhash64(F.lit(number), *[F.get(words, place + o) for o in MASKS[number]])
 
-    def hashed(number: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(
-            starts, lambda i: F.xxhash64(F.lit(number), *[F.get(words, i + o) for o in mask])
-        )
 
-    return F.concat(*[hashed(n, mask) for n, mask in enumerate(MASKS)])
+def _exploded(df: DataFrame, words: Column, stride: int, *keep: str) -> DataFrame:
+    """A row per seed: the columns `keep`, the seed and its place; never the words.
 
+    The explode is an outer one: Catalyst adds a filter to an inner one that computes all again.
+    """
+    starts = _starts(words, stride)
 
-def _placed(df: DataFrame, words: str, stride: int, *keep: str) -> DataFrame:
-    """A row per seed: what `keep` names, the seed and the position of its window."""
-    made = df.withColumn("__seeds", _seeds(F.col(words), stride))
-    made = made.withColumn("__each", (F.size("__seeds") / len(MASKS)).cast("int"))
-    # The outer form: the inner one adds a filter that computes all seeds twice.
-    exploded = made.select(*keep, "__each", F.posexplode_outer("__seeds").alias("__at", "__seed"))
-    return exploded.select(*keep, "__seed", ((F.col("__at") % F.col("__each")) * stride).alias("__pos"))
+    def placed(number: int) -> Column:
+        return F.transform(
+            starts, lambda i: F.struct(_seed(words, number, i).alias("seed"), i.alias("place"))
+        )
+
+    found = F.concat(*[placed(n) for n in range(len(MASKS))])
+    made = df.select(*keep, F.explode_outer(found).alias("__s"))
+    return made.select(*keep, F.col("__s.seed").alias("__seed"), F.col("__s.place").alias("__pos"))
 
 
 def _pieces(benchmark: DataFrame, item: str, text: str, window: int, block_words: int):
@@ -114,29 +121,31 @@ def overlaps(
     """
     pieces, blocks = _pieces(benchmark, item, item_text, window, block_words)
     texts = docs.select(F.col(key).alias("__key"), words_of(text).alias("__words"))
-    placed = _placed(texts, "__words", STRIDE, "__key", "__words")
+    placed = _exploded(texts, F.col("__words"), STRIDE, "__key")
     found = []
     for block in range(blocks):
         own = pieces.filter(F.col("__block") == block)
-        seeds = _placed(own, "__iw", 1, "__item", "__start", "__iw").withColumnRenamed(
-            "__pos", "__ipos"
+        seeds = _exploded(own, F.col("__iw"), 1, "__item", "__start")
+        hits = placed.join(
+            F.broadcast(seeds.withColumnRenamed("__pos", "__ipos")), "__seed"
+        )  # seeds of at most block_words words
+        start = (F.col("__pos") - F.col("__ipos")).alias("__from")
+        found.append(hits.select("__key", "__item", "__start", start).distinct())
+    aligned = common.written(reduce(DataFrame.unionByName, found), "alignments")
+    aligned = aligned.withColumnRenamed("__key", "__hit")
+    pieces = pieces.select(F.col("__item").alias("__i"), F.col("__start").alias("__s"), "__iw")
+    checked = (
+        texts.join(aligned, F.col("__key").eqNullSafe(F.col("__hit")))
+        .join(pieces, F.col("__item").eqNullSafe(F.col("__i")) & (F.col("__start") == F.col("__s")))
+        .select(
+            "__key", "__item", "__from", F.least(F.size("__iw"), F.lit(window)).alias("__wide"),
+            _matched("__words", window).alias("__matched"),
         )
-        hits = placed.join(F.broadcast(seeds), "__seed")  # at most block_words words
-        aligned = hits.select(
-            "__key", "__item", "__words", "__iw",
-            (F.col("__pos") - F.col("__ipos")).alias("__from"),
-        )
-        found.append(
-            aligned.select(
-                "__key", "__item", "__from",
-                F.least(F.size("__iw"), F.lit(window)).alias("__wide"),
-                _matched("__words", window).alias("__matched"),
-            ).filter(F.col("__matched") >= F.col("__wide") * share)
-        )
+        .filter(F.col("__matched") >= F.col("__wide") * share)
+    )
     best = F.max(F.struct("__matched", "__wide", (-F.col("__from")).alias("__back"))).alias("b")
     return (
-        reduce(DataFrame.unionByName, found)
-        .groupBy("__key", "__item")
+        checked.groupBy("__key", "__item")
         .agg(best)
         .select(
             F.col("__key").alias(key),
