@@ -12,6 +12,7 @@ from martwright.llm import (
     chat,
     decontaminate,
     language_id,
+    lm_scoring,
     neighbours,
     quality,
     sentence_pieces,
@@ -232,3 +233,9 @@ SELECT conv_id, count(*) AS n_turns,
   sum(size)::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+
+@query("op3_lm_scoring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, lm_scoring.train(docs), keep=["doc_id"])
