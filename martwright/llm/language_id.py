@@ -202,7 +202,7 @@ def label(texts: list[str], model: LangModel):
     change = np.ones(len(path), bool)
     change[1:] = (path[1:] != path[:-1]) | (doc[1:] != doc[:-1])
     heads = np.flatnonzero(change)
-    tails = np.append(heads[1:], len(path)) - 1
+    tails = np.append(heads, len(path))[1:] - 1
     spans: list[list] = [[] for _ in texts]
     ends = starts + letters
     for d, a, b, lang in zip(doc[heads], starts[heads], ends[tails], path[heads], strict=True):

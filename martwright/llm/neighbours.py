@@ -105,7 +105,7 @@ class Heaps:
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     ids = table.column("id").to_numpy()
     flat = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return ids, flat.astype(np.float64).reshape(len(ids), -1)
+    return ids, flat.astype(np.float64).reshape(len(ids), -1 if len(ids) else 0)
 
 
 def nearest(
