@@ -1,3 +1,5 @@
+from odd_rows import no_docs, odd_docs  # noqa: F401
+
 import itertools
 
 import numpy as np

@@ -1,3 +1,5 @@
+from odd_rows import no_docs, odd_docs  # noqa: F401
+
 import numpy as np
 
 from martwright.llm import lm_scoring as lm

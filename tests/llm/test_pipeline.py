@@ -1,4 +1,6 @@
 
+from odd_rows import no_docs, odd_docs  # noqa: F401
+
 import pytest
 
 import corpus_pipeline as pipeline
