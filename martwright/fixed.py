@@ -63,18 +63,6 @@ COUNTRY_REGION = {
     "South Africa": "EMEA",
     "UAE": "EMEA",
 }
-# Countries that only the ingest step knows; cleaning sends them to DEFAULT_REGION.
-INGEST_ONLY_COUNTRY_REGION = {
-    "Chile": "Americas",
-    "Colombia": "Americas",
-    "Peru": "Americas",
-    "Sweden": "Europe",
-    "Poland": "Europe",
-    "Belgium": "Europe",
-    "New Zealand": "APAC",
-    "Taiwan": "APAC",
-    "Israel": "EMEA",
-}
 DEFAULT_REGION = "Other"
 HOME_COUNTRY = "United States"
 
@@ -195,7 +183,6 @@ TITLE_KEYWORDS = [
 TITLE_DESCRIPTION_CHARS = 500
 
 SHORT_TEXT_CHARS = 300
-LOADED_TEXT_CHARS = 2000
 MIN_TEXT_CHARS = 10
 
 ON_PREMISE_SHARE = 0.22

@@ -1,4 +1,10 @@
-from martwright.functions.dates import month_parts, month_spine, time_literal, to_date_lenient
+from martwright.functions.dates import (
+    first_month,
+    month_parts,
+    month_spine,
+    time_literal,
+    to_date_lenient,
+)
 from martwright.functions.ladders import (
     flag_label,
     in_set,
@@ -27,6 +33,7 @@ __all__ = [
     "contains_flag",
     "extract_code",
     "fill",
+    "first_month",
     "flag_label",
     "has_text",
     "html_text",

@@ -48,3 +48,8 @@ def month_spine(as_of: DataFrame, col: str, months: int = 12) -> DataFrame:
     starts = F.sequence(F.add_months(last, 1 - months), last, F.expr("interval 1 month"))
     spine = as_of.select(F.explode(starts).alias("month_start"))
     return spine.withColumns(month_parts("month_start"))
+
+
+def first_month(as_of: Column, months: int = 12) -> Column:
+    """First day of the `months` months that end with the month of a date."""
+    return F.add_months(F.trunc(as_of.cast("date"), "month"), 1 - months)

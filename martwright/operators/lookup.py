@@ -9,17 +9,14 @@ from pyspark.sql import functions as F
 
 from martwright.functions.text import column
 
-# A literal map is searched entry by entry for each row; larger tables are joined.
-MAX_LITERAL_ENTRIES = 200
 
 
 def map_value(c: Column | str, table: Mapping[str, str], default: Column | str | None) -> Column:
-    """The value of a small fixed table, `default` (constant or column) where the key is unknown.
+    """The value of a table written in code, `default` (constant or column) for unknown keys.
 
-    Needs neither join nor shuffle.
+    Needs neither join nor shuffle, but searches the map entry by entry for each row: for tables
+    that are data, or long, `map_lookup` joins.
     """
-    if len(table) > MAX_LITERAL_ENTRIES:
-        raise ValueError("use map_lookup with a DataFrame for a table of this size")
     entries = [F.lit(text) for pair in table.items() for text in pair]
     otherwise = default if isinstance(default, Column) else F.lit(default)
     return F.coalesce(F.try_element_at(F.create_map(*entries), column(c)), otherwise)

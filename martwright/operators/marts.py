@@ -13,7 +13,6 @@ from martwright.functions.ladders import flag_label
 from martwright.functions.numbers import pct
 from martwright.operators.shares import (
     LIST_WIDTH,
-    join_same,
     joined_lists,
     row_total,
     share_of_total,
@@ -31,14 +30,12 @@ def _flags(col: str) -> Column:
 # ---- items -------------------------------------------------------------------
 
 
-def category_mart(
-    df: DataFrame, cat: str, flag: str, kind: str, name: str, order: str, width: int = LIST_WIDTH
-) -> DataFrame:
-    """Per category: items, flagged items, share of all items, kind flag, and the names.
+def category_mart(df: DataFrame, cat: str, flag: str, kind: str) -> DataFrame:
+    """Per category: items, flagged items, share of all items and kind flag.
 
-    The names come in bounded parts (`list_part`, see `joined_lists`).
+    The names of its items are a table of their own, see `category_names`.
     """
-    stats = (
+    return (
         df.groupBy(cat)
         .agg(
             _rows().alias("item_count"),
@@ -47,15 +44,18 @@ def category_mart(
         )
         .withColumn("pct_of_items", pct("item_count", row_total(df)))
     )
-    names = joined_lists(df, [cat], name, order, ", ", "item_names", width)
-    return join_same(names, stats, [cat])
 
 
-def category_mart_ext(
-    df: DataFrame, cat: str, flag: str, kind: str, name: str, order: str, width: int = LIST_WIDTH
+def category_names(
+    df: DataFrame, cat: str, name: str, order: str, width: int = LIST_WIDTH
 ) -> DataFrame:
-    """As `category_mart`, with unflagged items, a kind label, and only the flagged names."""
-    stats = (
+    """The names of each category's items, joined in parts (see `joined_lists`)."""
+    return joined_lists(df, [cat], name, order, ", ", "item_names", width)
+
+
+def category_mart_ext(df: DataFrame, cat: str, flag: str, kind: str) -> DataFrame:
+    """As `category_mart`, with unflagged items and a kind label."""
+    return (
         df.groupBy(cat)
         .agg(
             _rows().alias("item_count"),
@@ -67,9 +67,14 @@ def category_mart_ext(
         )
         .withColumn("pct_of_items", pct("item_count", row_total(df)))
     )
-    flagged = F.when(F.col(flag), F.col(name))
-    names = joined_lists(df, [cat], flagged, order, ", ", "flagged_names", width)
-    return join_same(names, stats, [cat])
+
+
+def category_flagged_names(
+    df: DataFrame, cat: str, flag: str, name: str, order: str, width: int = LIST_WIDTH
+) -> DataFrame:
+    """The names of each category's flagged items, joined in parts; null in a part without any."""
+    flagged = F.when(F.col(flag).cast("boolean"), F.col(name))
+    return joined_lists(df, [cat], flagged, order, ", ", "flagged_names", width)
 
 
 def category_mart_first(
@@ -207,14 +212,13 @@ def count_sum_by(df: DataFrame, key: str, measure: str, count: str, out: str) ->
 
 
 def department_mart(
-    df: DataFrame, dept: str, remote: str, hybrid: str, size: str, level: str, order: str,
-    width: int = LIST_WIDTH,
-) -> DataFrame:
-    """Per department: posts, remote and hybrid posts, mean list size, share, and all levels.
+    df: DataFrame, dept: str, remote: str, hybrid: str, size: str
+) -> DataFrame:
+    """Per department: posts, remote and hybrid posts, mean list size and share.
 
-    The levels come in bounded parts (`list_part`, see `joined_lists`).
+    The levels of its posts are a table of their own, see `department_levels`.
     """
-    stats = (
+    return (
         df.groupBy(dept)
         .agg(
             _rows().alias("post_count"),
@@ -224,8 +228,13 @@ def department_mart(
         )
         .withColumn("pct_of_posts", pct("post_count", row_total(df)))
     )
-    levels = joined_lists(df, [dept], level, order, " | ", "seniority_mix", width)
-    return join_same(levels, stats, [dept])
+
+
+def department_levels(
+    df: DataFrame, dept: str, level: str, order: str, width: int = LIST_WIDTH
+) -> DataFrame:
+    """The level of each post of a department, joined in parts (see `joined_lists`)."""
+    return joined_lists(df, [dept], level, order, " | ", "seniority_mix", width)
 
 
 def department_mart_ext(

@@ -63,9 +63,3 @@ def joined_lists(
         .agg(F.expr(f"listagg(_value, '{escaped}') within group (order by _order)").alias(out))
     )
 
-
-def join_same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on equal keys, null equal to null, one copy of the keys."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(renamed, same).drop(*(f"_r_{k}" for k in keys))

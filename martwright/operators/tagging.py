@@ -154,15 +154,10 @@ def _names(words: Column, text: Column, taxonomy: list[Term]) -> Column:
     return F.array_except(F.array(*hits), F.array(F.lit(None).cast("string")))
 
 
-def spread_small(scan: DataFrame, key: str) -> DataFrame:
-    """A table scan with fewer partitions than there are cores, spread over all of them by a
-    unique key; any other scan as it is.
-
-    For heavy work per row on a small table that lies in few files. A large table
-    has more partitions than cores and is never shuffled by this.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+def spread(scan: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    """The rows dealt over `partitions` by a unique key, before heavy work per row; as they
+    are where no number is given. Worth its shuffle only if a table lies in few files."""
+    return scan.repartition(partitions, key) if partitions else scan
 
 
 def term_pairs(df: DataFrame, keep: list[str], terms: str = "terms", out: str = "term") -> DataFrame:

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright import fixed
 from martwright.functions.ladders import flag_label
+from martwright.functions.dates import month_parts
 from martwright.functions.numbers import pct
 
-PRODUCT_BUCKETS = 64
-
 
 def volume_trend(fact: DataFrame, keys: list[str], measures: dict[str, str]) -> DataFrame:
-    """Sums per key (item, year, month, ...); additive, so new months can be merged in later."""
+    """Sums per key (item, year, month, ...); additive, see `merge_months`."""
     return fact.groupBy(*keys).agg(*(F.sum(c).alias(out) for c, out in measures.items()))
 
 
@@ -58,26 +57,35 @@ def share_metrics(
     )
 
 
-def product(a: DataFrame, b: DataFrame, buckets: int = PRODUCT_BUCKETS) -> DataFrame:
-    """Every pair of rows of two sets, as an equi-join over buckets of `b`.
+def merge_months(trend: DataFrame, new: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """A trend with another merged in: sums of the same key add up, null keys equal each other."""
+    return trend.unionByName(new).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in sums))
+
+
+def dense_series(
+    fact: DataFrame, keys: list[str], when: str, measure: str, first: Column, last: Column
+) -> DataFrame:
+    """Monthly sums from the month of `first` to that of `last` for every key seen in them, 0
+    in months without a row.
 
-    Each row of `a` visits every bucket once. Spark broadcasts `b` if its
-    measured size allows it and otherwise spreads the pairs over the buckets.
+    One read of the fact and no join: the months of a key (as many as the range has, at most)
+    become a map, and the range is exploded over it.
     """
-    spread = b.withColumn("_bucket", F.pmod(F.xxhash64(*b.columns), F.lit(buckets)).cast("int"))
+    month = F.trunc(F.col(when).cast("date"), "month")
+    start, stop = (F.trunc(c.cast("date"), "month") for c in (first, last))
+    monthly = (
+        fact.filter(F.col(when).cast("date").between(start, F.last_day(stop)))
+        .groupBy(*keys, month.alias("_month"))
+        .agg(F.sum(measure).alias("_sum"))
+    )
+    seen = F.map_from_entries(F.collect_list(F.struct("_month", "_sum")))
+    series = monthly.groupBy(*keys).agg(seen.alias("_seen"))
+    months = F.sequence(start, stop, F.expr("interval 1 month"))
     return (
-        a.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-        .join(spread, "_bucket")
-        .drop("_bucket")
+        series.select(*keys, "_seen", F.explode(months).alias("month_start"))
+        .withColumns(month_parts("month_start"))
+        .withColumn(
+            measure, F.coalesce(F.try_element_at("_seen", F.col("month_start")), F.lit(0))
+        )
+        .drop("_seen")
     )
-
-
-def cross_grid(months: DataFrame, items: DataFrame, states: DataFrame) -> DataFrame:
-    """Every month, item and state."""
-    return product(product(months, items), states)
-
-
-def densify(grid: DataFrame, fact: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """The grid with the summed measures of the fact, 0 where nothing was observed."""
-    observed = fact.groupBy(*keys).agg(*(F.sum(m).alias(m) for m in measures))
-    return grid.join(observed, keys, "left").fillna(0, measures)

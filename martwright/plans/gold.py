@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,9 @@ from martwright.operators.quality import append_dq_log, dq_checks, dq_summary, v
 from martwright.operators.tagging import Term, tag_terms, term_frequency, term_pairs
 from martwright.sources import specs
 from martwright.sources.readers import register_views
-from martwright.sources.writers import export_all, load_table
+from martwright.sources.writers import export_all, load_table, write_csv
 
+ITEM_MART = ("category", "is_flagship", "is_spirits")
 ITEM = ("category", "is_flagship", "is_spirits", "item_name", "item_id")
 SITE = ("region", "site_type", "headcount", "country", "site_id")
 TREND_KEYS = ["item", "year", "month", "month_label", "price_tier"]
@@ -69,10 +71,12 @@ def category_types(mart: DataFrame) -> DataFrame:
 
 VIEWS = [
     "items_by_category",
+    "category_names",
     "sites_by_region",
     "term_ranking",
     "top_terms",
     "posts_by_department",
+    "department_levels",
     "portfolio_summary",
     "volume_trend",
     "control_state_summary",
@@ -105,12 +109,18 @@ class Warehouse:
         terms = lambda: table(specs.FACT_TERMS)
         cases = lambda: table(specs.FACT_VOLUMES)
         return {
-            "items_by_category": lambda: marts.category_mart(items(), *ITEM),
+            "items_by_category": lambda: marts.category_mart(items(), *ITEM_MART),
+            "category_names": lambda: marts.category_names(
+                items(), "category", "item_name", "item_id"
+            ),
             "sites_by_region": lambda: marts.region_type_mart(sites(), *SITE),
             "term_ranking": lambda: ranked_terms(terms()),
             "top_terms": lambda: wanted_terms(terms()),
             "posts_by_department": lambda: marts.department_mart(
-                posts(), "department", "is_remote", "is_hybrid", "term_count", "seniority", "post_id"
+                posts(), "department", "is_remote", "is_hybrid", "term_count"
+            ),
+            "department_levels": lambda: marts.department_levels(
+                posts(), "department", "seniority", "post_id"
             ),
             "portfolio_summary": lambda: kpis.kpi_table(items(), sites(), posts(), terms()),
             "volume_trend": lambda: volumes.volume_trend(cases(), TREND_KEYS, TREND_MEASURES),
@@ -126,16 +136,31 @@ class Warehouse:
         append_dq_log(dq_summary(report), self.path(specs.DQ_LOG.name))
         return self.table(specs.DQ_LOG)
 
-    def build(self, tables: dict[specs.TableSpec, DataFrame], export_to: str | None = None) -> dict:
-        """Load all tables, make the views, run the read-out checks, export the views.
-
-        A view or check that fails is reported under its name and stops nothing.
+    def build(
+        self,
+        tables: dict[specs.TableSpec, DataFrame],
+        at: dt.datetime,
+        latest: dict[str, str] | None = None,
+        export_to: str | None = None,
+    ) -> dict:
+        """Load and check all tables, make the views, run the read-outs, export the views.
+
+        Rows that share a declared unique key are reduced to the last by the column that
+        `latest` names for the table; a table with a key and without such a column is refused.
+        Every table's checks are added to the log. A view or read-out that fails is reported
+        under its name and stops nothing.
         """
+        latest = latest or {}
         for spec, df in tables.items():
-            self.load(spec, df)
+            if spec.unique and spec.name not in latest:
+                raise ValueError(f"{spec.name} has a unique key: name the column of the last row")
+            self.load(spec, df, latest.get(spec.name))
+            required = [c.name for c in spec.columns if c.not_null]
+            keys = list(spec.unique[0]) if spec.unique else []
+            self.check(spec, required, keys, at)
         loaded = {spec.name for spec in tables}
-        for name in loaded:
-            self.spark.read.parquet(self.path(name)).createOrReplaceTempView(name)
+        for spec in tables:
+            self.table(spec).createOrReplaceTempView(spec.name)
         failed = register_views(self.spark, self.views())
         made = [name for name in VIEWS if name not in failed]
         counts = {f"{name} row count": f"SELECT count(*) FROM {name}" for name in sorted(loaded)}
@@ -153,3 +178,50 @@ class Warehouse:
             "checks": validate(self.spark, checks),
             "exported": export_all(self.spark, made, export_to) if export_to else {},
         }
+
+
+def gold_marts(
+    items: DataFrame, sites: DataFrame, posts: DataFrame, terms: DataFrame, as_of: dt.date
+) -> dict[str, DataFrame]:
+    """The marts of the cleaned tables, by name; `write_frames` stores them."""
+    return {
+        "category_mart": marts.category_mart_ext(items, *ITEM_MART),
+        "category_flagged_names": marts.category_flagged_names(
+            items, "category", "is_flagship", "item_name", "item_id"
+        ),
+        "site_mart": marts.region_type_mart_ext(sites, *SITE, "year_established"),
+        "department_mart": marts.department_mart_ext(
+            posts, "department", "is_remote", "is_hybrid", "term_count"
+        ),
+        "kpis": kpis.kpi_exec(items, sites, posts, terms, as_of=as_of),
+    }
+
+
+def report_exports(
+    items: DataFrame, sites: DataFrame, posts: DataFrame, terms: DataFrame
+) -> dict[str, DataFrame]:
+    """The frames of the reports, under display names."""
+    place = {
+        "site_name": "Site", "country": "Country", "region": "Region", "site_type": "Type",
+        "latitude": "Latitude", "longitude": "Longitude", "headcount": "Headcount",
+    }
+    chart = {
+        "term": "Term", "frequency": "Frequency", "pct_of_posts": "% of Posts",
+        "term_category": "Category", "demand_tier": "Demand Tier",
+    }
+    top = terms.orderBy(F.desc("frequency"), "term").limit(20)
+    return {
+        "geographic_map": sites.select(*(F.col(c).alias(n) for c, n in place.items())),
+        "category_distribution": marts.distribution(items, "category", "item_name"),
+        "region_summary": marts.region_summary(
+            sites, "region", "site_name", "headcount", "country"
+        ),
+        "dept_seniority": marts.cross_counts(posts, "department", "seniority"),
+        "top_chart_terms": top.select(*(F.col(c).alias(n) for c, n in chart.items())),
+    }
+
+
+def write_frames(frames: dict[str, DataFrame], folder: str) -> None:
+    """Each frame to a folder of its own, as CSV."""
+    for name, df in frames.items():
+        write_csv(df, f"{folder.rstrip('/')}/{name}")

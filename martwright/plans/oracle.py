@@ -248,9 +248,8 @@ SELECT item_id, item_name, category, category_raw, CAST(is_flagship AS INT) AS i
        CAST(is_spirits AS INT) AS is_spirits, CAST(0 AS INT) AS has_description FROM items"""
 ORACLE_SQL["upsert_latest"] = """
 SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders
-WHERE o_orderstatus IN ('F', 'O')
 QUALIFY row_number() OVER (PARTITION BY o_custkey
-                           ORDER BY o_orderstatus = 'O' DESC, o_orderkey DESC) = 1"""
+                           ORDER BY o_orderstatus <> 'F' DESC, o_orderkey DESC) = 1"""
 ORACLE_SQL["constraint_check"] = _with(ITEMS) + """,
 bad AS (SELECT item_id, item_name, nullif(category, 'Uncategorized') AS category,
                length(item_name) % 3 AS is_flagship FROM items)
@@ -364,28 +363,33 @@ SELECT CASE WHEN is_spirits THEN '{fixed.SPIRITS_LABEL}' ELSE '{fixed.NON_SPIRIT
 FROM items GROUP BY 1"""
 ORACLE_SQL["dense_grid"] = _with(STATE_VOLUMES, SPINE) + f"""
 SELECT CAST(year(month_start) AS INTEGER) AS year, CAST(month(month_start) AS INTEGER) AS month,
-       b.item, n.n_name AS state_code, CAST(coalesce(sum(total_cases), 0) AS BIGINT) AS total_cases
-FROM spine CROSS JOIN (SELECT DISTINCT p_brand AS item FROM part) b CROSS JOIN nation n
+       b.item, b.state_code, CAST(coalesce(sum(total_cases), 0) AS BIGINT) AS total_cases
+FROM spine CROSS JOIN (SELECT DISTINCT item, state_code FROM volumes
+                       WHERE l_shipdate >= (SELECT min(month_start) FROM spine)) b
 LEFT JOIN volumes v ON v.year = year(month_start) AND v.month = month(month_start)
-                   AND v.item = b.item AND v.state_code = n.n_name
+                   AND v.item = b.item AND v.state_code = b.state_code
 GROUP BY ALL"""
 
 # ---- items
 
 _MART = f"""count(*) AS item_count, {_isum("CAST(is_flagship AS INT)")} AS flagged_count,
        {_pct("count(*)", "(SELECT count(*) FROM items)")} AS pct_of_items"""
-# One list part covers ids 0 to 99,999, more than the items at the checked sizes.
 ORACLE_SQL["category_mart"] = _with(ITEMS) + f"""
-SELECT category, CAST(0 AS BIGINT) AS list_part, {_MART},
-       max(CAST(is_spirits AS INT)) AS kind_flag,
-       string_agg(item_name, ', ' ORDER BY item_id) AS item_names
+SELECT category, {_MART}, max(CAST(is_spirits AS INT)) AS kind_flag
 FROM items GROUP BY category"""
+ORACLE_SQL["category_names"] = _with(ITEMS) + f"""
+SELECT category, item_id // {roles.LIST_IDS} AS list_part,
+       string_agg(item_name, ', ' ORDER BY item_id) AS item_names
+FROM items GROUP BY ALL"""
+ORACLE_SQL["category_flagged_names"] = _with(ITEMS) + f"""
+SELECT category, item_id // {roles.LIST_IDS} AS list_part,
+       string_agg(CASE WHEN is_flagship THEN item_name END, ', ' ORDER BY item_id) AS flagged_names
+FROM items GROUP BY ALL"""
 ORACLE_SQL["category_mart_ext"] = _with(ITEMS) + f"""
-SELECT category, CAST(0 AS BIGINT) AS list_part, {_MART},
+SELECT category, {_MART},
        count(*) - {_isum("CAST(is_flagship AS INT)")} AS unflagged_count,
        CASE WHEN bool_or(is_spirits) THEN '{fixed.SPIRITS_LABEL}'
-            ELSE '{fixed.NON_SPIRITS_LABEL}' END AS kind_label,
-       string_agg(CASE WHEN is_flagship THEN item_name END, ', ' ORDER BY item_id) AS flagged_names
+            ELSE '{fixed.NON_SPIRITS_LABEL}' END AS kind_label
 FROM items GROUP BY category"""
 ORACLE_SQL["category_mart_first"] = _with(ITEMS) + f"""
 SELECT category, {_MART}, arg_min(is_spirits, item_id) AS kind_flag FROM items GROUP BY category"""
@@ -445,9 +449,11 @@ _WORK = f"""count(*) AS post_count, {_isum("CAST(is_remote AS INT)")} AS remote_
        {_isum("CAST(is_hybrid AS INT)")} AS hybrid_count, round(avg(term_count), 1) AS avg_terms,
        {_pct("count(*)", "(SELECT count(*) FROM posts)")} AS pct_of_posts"""
 ORACLE_SQL["department_mart"] = _with(POSTS) + f"""
-SELECT department, CAST(0 AS BIGINT) AS list_part, {_WORK},
+SELECT department, {_WORK} FROM posts GROUP BY department"""
+ORACLE_SQL["department_levels"] = _with(RAW_POSTS) + f"""
+SELECT department, post_id // {roles.LIST_IDS} AS list_part,
        string_agg(seniority, ' | ' ORDER BY post_id) AS seniority_mix
-FROM posts GROUP BY department"""
+FROM raw_posts GROUP BY ALL"""
 ORACLE_SQL["department_mart_ext"] = _with(POSTS) + f"""
 SELECT department, {_WORK},
        count(*) - {_isum("CAST(is_remote AS INT) + CAST(is_hybrid AS INT)")} AS on_site_count
@@ -497,6 +503,11 @@ SELECT item, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, mon
        price_tier, {_isum("total_cases")} AS total_cases,
        {_isum("on_premise")} AS on_premise_cases, {_isum("off_premise")} AS off_premise_cases
 FROM volumes GROUP BY ALL"""
+ORACLE_SQL["volume_merge"] = _with(VOLUMES) + f"""
+SELECT item, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, price_tier,
+       {_isum("total_cases")} AS total_cases,
+       {_isum("on_premise")} AS on_premise_cases, {_isum("off_premise")} AS off_premise_cases
+FROM volumes GROUP BY item, year, month, price_tier"""
 ORACLE_SQL["flag_summary"] = _with(STATE_VOLUMES) + f"""
 SELECT item,
        CASE WHEN is_control_state THEN '{fixed.CONTROL_LABEL}' ELSE '{fixed.OPEN_LABEL}' END

@@ -13,6 +13,7 @@ from martwright.functions import (
     contains_flag,
     extract_code,
     fill,
+    first_month,
     has_text,
     in_set,
     join_list,
@@ -39,7 +40,7 @@ from martwright.operators.lookup import map_lookup, map_value
 from martwright.operators.shares import flag_pct, share_of_total, top_k
 from martwright.operators.tagging import count_with_all, tag_terms, term_frequency, term_pairs
 from martwright.plans import gold, roles, silver
-from martwright.session import fresh_path
+from martwright.session import fresh_path, written
 from martwright.sources import specs
 from martwright.sources.extract import extract_cards, mine_title_lines
 from martwright.sources.readers import query, read_optional, register_views, with_fallback
@@ -75,7 +76,7 @@ def sql_scan(spark, folder):
         {
             "mw_items": lambda: roles.items(spark, folder),
             "mw_items_by_category": lambda: marts.category_mart(
-                spark.table("mw_items"), *gold.ITEM
+                spark.table("mw_items"), *gold.ITEM_MART
             ),
         },
     )
@@ -84,7 +85,7 @@ def sql_scan(spark, folder):
         f"""SELECT category, item_count, flagged_count, pct_of_items,
                    CASE WHEN kind_flag = 1 THEN '{fixed.SPIRITS_LABEL}'
                         ELSE '{fixed.NON_SPIRITS_LABEL}' END AS type
-            FROM mw_items_by_category WHERE list_part = 0
+            FROM mw_items_by_category
             ORDER BY item_count DESC, category""",
     )
 
@@ -160,13 +161,13 @@ def load_refresh(spark, folder):
 
 @register
 def q_upsert_latest(spark, folder):
-    """Latest order per customer: open orders replace finished ones."""
+    """Latest order per customer: any other order replaces finished ones."""
     orders = roles.table(spark, folder, "orders").select(
         "o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice"
     )
     return upsert_latest(
         orders.filter("o_orderstatus = 'F'"),
-        orders.filter("o_orderstatus = 'O'"),
+        orders.filter("o_orderstatus <> 'F'"),
         ["o_custkey"],
         "o_orderkey",
     )
@@ -424,9 +425,9 @@ def q_month_spine(spark, folder):
     """Lines shipped in each of the twelve months up to the last one, empty months included."""
     line = roles.table(spark, folder, "lineitem")
     spine = month_spine(line.agg(F.max("l_shipdate").alias("as_of")), "as_of")
-    shipped = line.groupBy(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("_month")).agg(
-        F.count(F.lit(1)).alias("lines")
-    )
+    month = F.trunc(F.col("l_shipdate").cast("date"), "month")
+    recent = line.filter(F.col("l_shipdate") >= first_month(_last_ship(line)))
+    shipped = recent.groupBy(month.alias("_month")).agg(F.count(F.lit(1)).alias("lines"))
     return (
         spine.join(shipped, F.col("month_start") == F.col("_month"), "left")
         .drop("_month")
@@ -434,6 +435,10 @@ def q_month_spine(spark, folder):
     )
 
 
+def _last_ship(line: DataFrame):
+    return line.agg(F.max("l_shipdate")).scalar()
+
+
 @register
 def channel_split(spark, folder):
     """The quantity of each line cut into its channel shares, added up per item."""
@@ -460,15 +465,13 @@ def segment_split(spark, folder):
 
 @register
 def dense_grid(spark, folder):
-    """Volume per month, item and state for the last twelve months, 0 where there was none."""
-    line = roles.table(spark, folder, "lineitem")
-    spine = month_spine(line.agg(F.max("l_shipdate").alias("as_of")), "as_of")
-    items = roles.table(spark, folder, "part").select(F.col("p_brand").alias("item")).distinct()
-    states = roles.table(spark, folder, "nation").select(F.col("n_name").alias("state_code"))
-    grid = volumes.cross_grid(spine.select("year", "month"), items, states)
-    first = spine.agg(F.min("month_start")).scalar()
-    fact = roles.state_volumes(spark, folder).filter(F.col("l_shipdate") >= first)
-    return volumes.densify(grid, fact, ["year", "month", "item", "state_code"], ["total_cases"])
+    """Volume per month of the last twelve for each item and state seen in them, 0 where there
+    was none."""
+    last = _last_ship(roles.table(spark, folder, "lineitem"))
+    fact = roles.state_volumes(spark, folder)
+    return volumes.dense_series(
+        fact, ["item", "state_code"], "l_shipdate", "total_cases", first_month(last), last
+    ).select("year", "month", "item", "state_code", "total_cases")
 
 
 # ---- items -------------------------------------------------------------------
@@ -476,14 +479,30 @@ def dense_grid(spark, folder):
 
 @register
 def category_mart(spark, folder):
-    mart = marts.category_mart(roles.items(spark, folder), *gold.ITEM)
-    return mart.orderBy(F.desc("item_count"), "category", "list_part")
+    mart = marts.category_mart(roles.items(spark, folder), *gold.ITEM_MART)
+    return mart.orderBy(F.desc("item_count"), "category")
+
+
+@register
+def category_names(spark, folder):
+    """The item names of each category, in parts of a range of ids."""
+    return marts.category_names(
+        roles.items(spark, folder), "category", "item_name", "item_id", roles.LIST_IDS
+    )
+
+
+@register
+def category_flagged_names(spark, folder):
+    return marts.category_flagged_names(
+        roles.items(spark, folder), "category", "is_flagship", "item_name", "item_id",
+        roles.LIST_IDS,
+    )
 
 
 @register
 def category_mart_ext(spark, folder):
-    mart = marts.category_mart_ext(roles.items(spark, folder), *gold.ITEM)
-    return mart.orderBy(F.desc("item_count"), "category", "list_part")
+    mart = marts.category_mart_ext(roles.items(spark, folder), *gold.ITEM_MART)
+    return mart.orderBy(F.desc("item_count"), "category")
 
 
 @register
@@ -506,13 +525,8 @@ def q_flag_pct(spark, folder):
 
 @register
 def item_rank(spark, folder):
-    """Items ranked by price, overall and within their category, however many there are."""
-    part = roles.items(spark, folder).select("item_id", "category").join(
-        roles.table(spark, folder, "part").select(
-            F.col("p_partkey").alias("item_id"), F.col("p_size").alias("size")
-        ),
-        "item_id",
-    )
+    """Items ranked by size, overall and within their category, however many there are."""
+    part = roles.sized_items(spark, folder)
     ranked = with_rank_large(part, "size", out="size_rank")
     return with_rank_large(ranked, "size", ["category"], "rank_in_category")
 
@@ -582,8 +596,16 @@ POST = ("department", "is_remote", "is_hybrid", "term_count")
 
 @register
 def department_mart(spark, folder):
-    mart = marts.department_mart(roles.posts(spark, folder), *POST, "seniority", "post_id")
-    return mart.orderBy(F.desc("post_count"), "department", "list_part")
+    mart = marts.department_mart(roles.posts(spark, folder), *POST)
+    return mart.orderBy(F.desc("post_count"), "department")
+
+
+@register
+def department_levels(spark, folder):
+    """The level of each post of a department, in parts of a range of ids."""
+    return marts.department_levels(
+        roles.untagged_posts(spark, folder), "department", "seniority", "post_id", roles.LIST_IDS
+    )
 
 
 @register
@@ -694,6 +716,17 @@ def volume_trend(spark, folder):
     return trend.withColumn("month_label", label).orderBy("item", "year", "month", "price_tier")
 
 
+@register
+def volume_merge(spark, folder):
+    """A trend of the lines up to a date, with the months after it merged in."""
+    keys = ["item", "year", "month", "price_tier"]
+    facts = roles.volumes(spark, folder)
+    until = F.col("l_shipdate") < F.lit(roles.MERGE_FROM)
+    old = volumes.volume_trend(facts.filter(until), keys, gold.TREND_MEASURES)
+    new = volumes.volume_trend(facts.filter(~until), keys, gold.TREND_MEASURES)
+    return volumes.merge_months(old, new, keys, list(gold.TREND_MEASURES.values()))
+
+
 @register
 def flag_summary(spark, folder):
     facts = roles.state_volumes(spark, folder)
@@ -713,11 +746,14 @@ def share_metrics(spark, folder):
 
 
 def _sources(spark, folder) -> list[DataFrame]:
+    """Items, sites, posts and terms. The texts are tagged once: posts without their text are
+    written, and the term table comes from the written terms."""
+    posts = written(roles.posts(spark, folder).drop("description"), "tagged-posts")
     return [
         roles.items(spark, folder),
         roles.sites(spark, folder),
-        roles.posts(spark, folder),
-        roles.terms(spark, folder),
+        posts,
+        roles.term_table_of(posts),
     ]
 
 

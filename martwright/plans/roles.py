@@ -19,7 +19,7 @@ from martwright.functions import (
     to_date_lenient,
 )
 from martwright.operators.lookup import map_value
-from martwright.operators.tagging import spread_small, tag_terms, term_table, word_taxonomy
+from martwright.operators.tagging import spread, tag_terms, term_table, word_taxonomy
 
 AS_OF = dt.datetime(2026, 1, 1)
 SOURCE = "given tables"
@@ -93,6 +93,14 @@ SCHEMAS = {
 }
 
 
+#: Setting with the number of partitions texts are dealt over before they are tagged; unset: none.
+SPREAD = "spark.martwright.spread"
+#: First day of the months merged into a trend.
+MERGE_FROM = "1996-01-01"
+#: Ids per part of a joined list.
+LIST_IDS = 250
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -123,6 +131,14 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sized_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Id, canonical category and size of the items."""
+    category = map_value(F.lower(strip("p_type")), ITEM_CATEGORIES, fixed.DEFAULT_CATEGORY)
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias("item_id"), category.alias("category"), F.col("p_size").alias("size")
+    )
+
+
 def regions(spark: SparkSession, folder: str) -> DataFrame:
     """Country -> region, one region left out."""
     nation = table(spark, folder, "nation")
@@ -185,14 +201,20 @@ def sites_with_year(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.join(first, loaded.site_id == first.o_custkey, "left").drop("o_custkey")
 
 
+def _spread_over(spark: SparkSession) -> int | None:
+    """Partitions for tables of long texts, where the caller names a number."""
+    named = spark.conf.get(SPREAD, None)
+    return int(named) if named else None
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The documents, for heavy work on their texts."""
-    return spread_small(table(spark, folder, "documents"), "doc_id")
+    return spread(table(spark, folder, "documents"), "doc_id", _spread_over(spark))
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """The pages, for heavy work on their texts."""
-    return spread_small(table(spark, folder, "pages"), "page_id")
+    return spread(table(spark, folder, "pages"), "page_id", _spread_over(spark))
 
 
 def raw_posts(spark: SparkSession, folder: str, docs: DataFrame | None = None) -> DataFrame:
@@ -244,10 +266,12 @@ def tagged_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 def terms(spark: SparkSession, folder: str) -> DataFrame:
     """The term table of the posts."""
-    tagged = tagged_texts(spark, folder)
-    return term_table(
-        tagged, "terms", WORD_TIERS, fixed.TIER_4, WORDS, DEFAULT_WORD_CATEGORY
-    )
+    return term_table_of(tagged_texts(spark, folder))
+
+
+def term_table_of(tagged: DataFrame) -> DataFrame:
+    """The term table of posts whose terms are known."""
+    return term_table(tagged, "terms", WORD_TIERS, fixed.TIER_4, WORDS, DEFAULT_WORD_CATEGORY)
 
 
 def _fact(line: DataFrame, part: DataFrame) -> DataFrame:

@@ -119,10 +119,17 @@ def clean_posts(
     """Posts: blanks filled, lenient date, state and work mode from the location,
     size of the term list, seniority from the title; first per title and department.
 
-    `terms` is the delimited list the tagging step leaves.
+    `terms` is the delimited list the tagging step leaves. The posts to keep are found on their
+    keys alone and met first: Spark moves that below the tagging, so only they are tagged.
     """
+    named = raw.select(
+        F.col("post_id"),
+        strip("title").alias("title"),
+        fill(strip("department"), fixed.DEFAULT_DEPARTMENT).alias("department"),
+    )
+    first = dedupe_first(named, ["title", "department"], ["post_id"]).select("post_id")
     cleaned = (
-        raw.withColumns(
+        raw.join(first, "post_id", "left_semi").withColumns(
             {
                 "title": strip("title"),
                 "department": fill(strip("department"), fixed.DEFAULT_DEPARTMENT),

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
-
-_local_folder: str | None = None
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "martwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -30,19 +27,16 @@ def build_session(app: str = "martwright", master: str | None = None, **conf: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by `spark.checkpoint.dir`.
+    """The folder every executor can reach: `spark.checkpoint.dir`, or the warehouse if unset.
 
-    Only a local session may go without the setting; it gets a temporary folder.
+    A cluster must name it, as its warehouse may be a default nobody meant to share.
     """
-    global _local_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="martwright-")
-    return _local_folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -53,3 +47,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def enable_checkpoints(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared folder and read back."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

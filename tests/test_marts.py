@@ -20,15 +20,19 @@ ARGS = ("category", "is_flagship", "is_spirits", "item_name", "item_id")
 
 
 def test_category_mart(spark):
-    got = {r["category"]: r.asDict() for r in marts.category_mart(items(spark), *ARGS).collect()}
-    assert got["x"]["item_names"] == "A, B" and got["x"]["pct_of_items"] == 66.7
+    mart = marts.category_mart(items(spark), *ARGS[:3])
+    got = {r["category"]: r.asDict() for r in mart.collect()}
+    assert len(got) == mart.count() and got["x"]["pct_of_items"] == 66.7
+    names = marts.category_names(items(spark), ARGS[0], *ARGS[3:])
+    assert {r["category"]: r["item_names"] for r in names.collect()}["x"] == "A, B"
     assert (got["y"]["item_count"], got["y"]["flagged_count"], got["y"]["kind_flag"]) == (1, 0, 0)
 
 
 def test_flagged_names_are_null_without_any(spark):
-    ext = marts.category_mart_ext(items(spark), *ARGS)
-    got = {r["category"]: (r["flagged_names"], r["kind_label"]) for r in ext.collect()}
-    assert got == {"x": ("A", "Spirits"), "y": (None, "Non-Spirits")}
+    ext = marts.category_mart_ext(items(spark), *ARGS[:3])
+    assert dict(rows(ext.select("category", "kind_label"))) == {"x": "Spirits", "y": "Non-Spirits"}
+    names = marts.category_flagged_names(items(spark), *ARGS[:2], *ARGS[3:])
+    assert dict(rows(names.select("category", "flagged_names"))) == {"x": "A", "y": None}
 
 
 def test_long_lists_come_in_parts_that_join_to_the_whole(spark):
@@ -39,11 +43,9 @@ def test_long_lists_come_in_parts_that_join_to_the_whole(spark):
     got = [r["names"] for r in parts.orderBy("list_part").collect()]
     assert len(got) == 16
     assert ", ".join(got) == ", ".join(f"n{i}" for i in range(1000))
-    # and the mart repeats the group's numbers on every part
-    mart = marts.category_mart(
-        df.withColumn("f", F.lit(True)), "k", "f", "f", "name", "id", width=64
-    )
-    assert mart.select("list_part", "item_count").distinct().count() == 16
+    # while the mart has one row however high the ids are
+    high = df.withColumns({"f": F.lit(True), "id": F.col("id") * 1_000_000_007})
+    assert marts.category_mart(high, "k", "f", "f").count() == 1
 
 
 SITES = [
@@ -140,14 +142,19 @@ def test_volumes(spark):
     assert rows(shares, "item") == [("a", "c", 70.0, 50.0, 0.4), ("b", "c", 30.0, 25.0, 0.4)]
 
 
-def test_dense_grid_fills_with_zero(spark):
-    months = spark.createDataFrame([(2026, 1), (2026, 2)], "year int, month int")
-    names = spark.createDataFrame([("a",), ("b",)], "item string")
-    states = spark.createDataFrame([("X",), ("Y",), ("Z",)], "state string")
-    grid = volumes.cross_grid(months, names, states)
-    assert grid.count() == grid.distinct().count() == 12
-    keys = ["year", "month", "item", "state"]
-    dense = volumes.densify(grid, facts(spark), keys, ["cases"])
-    assert dense.count() == 12
-    assert dense.filter("cases = 0").count() == 8
-    assert dense.agg(F.sum("cases")).first()[0] == 30
+def test_dense_series_fills_with_zero(spark):
+    dated = facts(spark).withColumn("day", F.make_date("year", "month", F.lit(15)))
+    first, last = F.lit("2025-12-03").cast("date"), F.lit("2026-02-01").cast("date")
+    dense = volumes.dense_series(dated, ["item", "state"], "day", "cases", first, last)
+    assert dense.count() == dense.select("item", "state", "month_start").distinct().count() == 9
+    assert dense.filter("cases = 0").count() == 5 and dense.agg(F.sum("cases")).first()[0] == 30
+    assert "Join" not in dense._jdf.queryExecution().executedPlan().toString()
+
+
+def test_months_merge(spark):
+    keys = ["item", "year", "month"]
+    whole = volumes.volume_trend(facts(spark), keys, {"cases": "total"})
+    old = volumes.volume_trend(facts(spark).filter("state = 'X'"), keys, {"cases": "total"})
+    new = volumes.volume_trend(facts(spark).filter("state <> 'X'"), keys, {"cases": "total"})
+    merged = volumes.merge_months(old, new, keys, ["total"])
+    assert rows(merged, *keys) == rows(whole, *keys)

@@ -66,4 +66,6 @@ def test_counts_and_validation(spark):
     assert rows(table_counts({"a": df, "b": df.limit(0)}), "table_name") == [("a", 3), ("b", 0)]
     df.createOrReplaceTempView("three")
     got = validate(spark, {"ok": "SELECT count(*) FROM three", "bad": "SELECT * FROM nowhere"})
-    assert got["ok"] == [(3,)] and "nowhere" in got["bad"]
+    assert rows(got["ok"]) == [(3,)] and "nowhere" in got["bad"]
+    long = validate(spark, {"all": "SELECT * FROM range(250)"})
+    assert long["all"].count() == 250

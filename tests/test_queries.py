@@ -4,10 +4,10 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as driver
+from martwright.plans.oracle import ORACLE_SQL as ORACLE
+from martwright.plans.queries import QUERIES
 from tools.check import compare, connect
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -32,6 +32,15 @@ def test_a_wrong_result_is_noticed(spark, duck):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+    assert QUERIES.keys() <= driver.queries().keys() and ORACLE.keys() <= driver.oracle_sql().keys()
+
+
+def test_texts_are_tagged_once(spark):
+    plan = QUERIES["clean_posts"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect") == 1
+    for name in ("kpi_core", "kpi_text", "kpi_exec"):  # tagged when the posts were written
+        plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_intersect" not in plan
 
 
 # These write or checkpoint first, so their plans start from files or RDDs.

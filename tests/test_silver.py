@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from conftest import rows
+
 from martwright import fixed
 from martwright.plans import gold, silver
 from martwright.operators.tagging import skill_taxonomy
@@ -84,20 +87,43 @@ def test_whole_job(spark, tmp_path):
         {
             specs.DIM_ITEM: silver.clean_items(raw_items(spark), AT, "test"),
             specs.DIM_SITE: silver.clean_sites(raw_sites(spark), AT),
-            specs.FACT_POSTS: posts,
+            specs.FACT_POSTS: posts.unionByName(posts),  # repeated ids
             specs.FACT_TERMS: terms,
             specs.FACT_VOLUMES: facts,
             specs.FACT_SHARES: shares,
         },
+        AT,
+        {
+            "dim_item": "item_id", "dim_site": "site_id", "fact_posts": "post_id",
+            "fact_terms": "frequency",
+        },
         str(tmp_path / "marts"),
-    )
+    )
+    assert house.table(specs.FACT_POSTS).count() == 2
+    with pytest.raises(ValueError):
+        house.build({specs.DIM_ITEM: silver.clean_items(raw_items(spark), AT, "test")}, AT)
     assert result["failed_views"] == {}
     assert result["exported"] == {
         "items_by_category": 2, "sites_by_region": 2, "term_ranking": 2, "top_terms": 1,
-        "posts_by_department": 2, "portfolio_summary": 9, "volume_trend": 1,
+        "category_names": 2, "posts_by_department": 2, "department_levels": 2, "portfolio_summary": 9, "volume_trend": 1,
         "control_state_summary": 1, "market_share": 1,
     }
-    assert result["checks"]["dim_item row count"] == [(2,)]
-    assert result["checks"]["top terms"] == [("SQL", 2), ("Python", 1)]
+    assert rows(result["checks"]["dim_item row count"]) == [(2,)]
+    assert rows(result["checks"]["top terms"]) == [("SQL", 2), ("Python", 1)]
+    logged = rows(house.table(specs.DQ_LOG).select("table_name"), "table_name")
+    assert [name for (name,) in logged] == sorted(s.name for s in (
+        specs.DIM_ITEM, specs.DIM_SITE, specs.FACT_POSTS, specs.FACT_TERMS, specs.FACT_VOLUMES,
+        specs.FACT_SHARES,
+    ))
+    marts = gold.gold_marts(
+        *(house.table(s) for s in (specs.DIM_ITEM, specs.DIM_SITE, specs.FACT_POSTS, specs.FACT_TERMS)),
+        AT.date(),
+    )
+    reports = gold.report_exports(
+        *(house.table(s) for s in (specs.DIM_ITEM, specs.DIM_SITE, specs.FACT_POSTS, specs.FACT_TERMS))
+    )
+    gold.write_frames(marts | reports, str(tmp_path / "reports"))
+    written = spark.read.csv(str(tmp_path / "reports/category_distribution"), header=True)
+    assert written.columns == ["Category", "Item Count", "% of Items"] and written.count() == 2
     log = house.check(specs.DIM_ITEM, ["item_name", "category"], ["item_name"], AT)
-    assert [(r["checks_passed"], r["checks_failed"]) for r in log.collect()] == [(5, 0)]
+    assert log.count() == 7
