@@ -474,6 +474,23 @@ SELECT department, round(avg(term_count), 1) AS avg_terms,
        CAST(max(term_count) AS INTEGER) AS max_terms, CAST(min(term_count) AS INTEGER) AS min_terms
 FROM posts GROUP BY department"""
 ORACLE_SQL["term_frequency"] = _with(FREQUENCY) + "SELECT * FROM frequency"
+
+
+def _skill(name: str, pattern: str) -> str:
+    """The pattern with its boundaries spelled out as the character beside them."""
+    pattern = pattern.replace(r"\bR\b(?= skills| for)", "R( skills| for)").replace("(?!Script)", "")
+    before, after = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
+    spelled = before + pattern.removeprefix(r"\b").replace(r"\b", after)
+    return f"CASE WHEN regexp_matches(text, {_text('(?i)' + spelled)}) THEN {_text(name)} END"
+
+
+_SKILLS = ",\n         ".join(_skill(n, p) for n, p in fixed.SKILL_PATTERNS.items())
+_PHRASES = "[" + ", ".join(_text(p) for p in roles.SKILL_PHRASES) + "]"
+ORACLE_SQL["skill_tags"] = f"""
+SELECT doc_id, array_to_string(list_filter([
+         {_SKILLS}], lambda t: t IS NOT NULL), '|') AS skills
+FROM (SELECT doc_id, {_PHRASES}[doc_id % {len(roles.SKILL_PHRASES)} + 1] || '. ' || text AS text
+      FROM documents)"""
 ORACLE_SQL["term_pairs"] = _with(POSTS) + "SELECT post_id, title, unnest(terms) AS term FROM posts"
 ORACLE_SQL["terms_by_category"] = _with(TERMS) + f"""
 SELECT term_category, count(*) AS unique_terms, {_isum("frequency")} AS total_mentions,

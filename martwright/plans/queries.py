@@ -38,7 +38,13 @@ from martwright.operators.dedupe import (
 )
 from martwright.operators.lookup import map_lookup, map_value
 from martwright.operators.shares import flag_pct, share_of_total, top_k
-from martwright.operators.tagging import count_with_all, tag_terms, term_frequency, term_pairs
+from martwright.operators.tagging import (
+    count_with_all,
+    skill_taxonomy,
+    tag_terms,
+    term_frequency,
+    term_pairs,
+)
 from martwright.plans import gold, roles, silver
 from martwright.session import fresh_path, written
 from martwright.sources import specs
@@ -646,6 +652,13 @@ def q_term_frequency(spark, folder):
     return term_frequency(roles.tagged_texts(spark, folder))
 
 
+@register
+def skill_tags(spark, folder):
+    """The fixed skill patterns over every document."""
+    tagged = tag_terms(roles.skill_texts(spark, folder), "text", skill_taxonomy(), "skills")
+    return tagged.select("doc_id", join_list("skills").alias("skills"))
+
+
 @register
 def q_term_pairs(spark, folder):
     return term_pairs(roles.tagged_texts(spark, folder), ["post_id", "title"])

@@ -93,6 +93,18 @@ SCHEMAS = {
 }
 
 
+#: Phrases put before the texts, one per document in turn, to give the skill patterns work.
+SKILL_PHRASES = [
+    "SQL and Python", "R skills", "R for all", "R language", "R2D2", "Java", "JavaScript",
+    "java/scala", "Power BI", "power  bi", "QlikView", "qliksensing", "AWS", "Google Cloud",
+    "Apache Airflow", "PySpark", "sparkling", "Microsoft SQL", "MSSQL Server", "Postgres",
+    "data modeler", "data models", "data warehouse", "data lakehouse", "star schema",
+    "dimensional modeling", "machine learnings", "ML", "HTML", "statistical analysis",
+    "data governance", "data-quality", "data catalog", "data lineage", "Scrum", "stakeholders",
+    "KPIs", "key performance indicator", "data pipeline", "dashboard", "reports", "BI", "BIG",
+    "business intelligence", "excel at Excel", "étl", "ETL ELT dbt", "Kafka_Kafka", "GDPR.",
+]
+
 #: Setting with the number of partitions texts are dealt over before they are tagged; unset: none.
 SPREAD = "spark.martwright.spread"
 #: First day of the months merged into a trend.
@@ -264,6 +276,14 @@ def tagged_texts(spark: SparkSession, folder: str) -> DataFrame:
     return tag_terms(raw, "description", TAXONOMY)
 
 
+def skill_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents with one of SKILL_PHRASES in front of the text."""
+    phrases = F.array(*[F.lit(p) for p in SKILL_PHRASES])
+    phrase = F.get(phrases, (F.col("doc_id") % len(SKILL_PHRASES)).cast("int"))
+    docs = documents(spark, folder)
+    return docs.select("doc_id", F.concat(phrase, F.lit(". "), "text").alias("text"))
+
+
 def terms(spark: SparkSession, folder: str) -> DataFrame:
     """The term table of the posts."""
     return term_table_of(tagged_texts(spark, folder))
