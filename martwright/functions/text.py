@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,12 +76,32 @@ def html_text(c: Column | str) -> Column:
     """The text of an HTML fragment: tags dropped, each text piece stripped, entities decoded."""
     gap = WHITESPACE_CLASS + "*"
     text = strip(F.regexp_replace(column(c), rf"{gap}(?:<[^>]*>{gap})+", ""))
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return F.when(text.contains("&"), decode_entities(text)).otherwise(text)
 
 
-# Named entities, the ampersand last so that nothing is decoded twice.
+def decode_entities(text: Column) -> Column:
+    """Named (HTML 4) and numeric character references decoded, each once; others stay."""
+    names = F.create_map(*[F.lit(x) for n, c in {"apos": 39, **name2codepoint}.items() for x in (n, chr(c))])
+
+    def decoded(piece: Column, i: Column) -> Column:
+        body = F.regexp_extract(piece, r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|\w+);", 1)
+        number = F.when(
+            body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 6), 16, 10)
+        ).otherwise(F.substring(body, 2, 7)).try_cast("int")
+        known = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        letter = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        found = F.when(
+            body.startswith("#"), F.when(known, letter)
+        ).otherwise(F.try_element_at(names, body))
+        rest = F.substring(piece, F.length(body) + 2, F.length(piece))
+        whole = F.coalesce(F.concat(found, rest), F.concat(F.lit("&"), piece))
+        return F.when(i == 0, piece).otherwise(whole)
+
+    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
+
+
+# Entities of the given pages, for the SQL beside the queries; the ampersand last so that
+# nothing is decoded twice.
 ENTITIES = [
     ("&lt;", "<"),
     ("&gt;", ">"),

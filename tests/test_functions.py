@@ -133,3 +133,6 @@ def test_ladders(one):
 
 def test_html_text(one):
     assert one(html_text("c"), " <b>Two </b> words &amp;amp; <i>x</i>") == ["Twowords &amp;x"]
+    odd = ["caf&eacute; &#233;&#xE9;&#x1F600; &Eacute;", "R&D & &nope; &#0; &#xD800; &#99999999; a&", "&lt;b&gt;&#38;lt;", "x&quot;&apos;&nbsp;y"]
+    want = ["café éé😀 É", "R&D & &nope; &#0; &#xD800; &#99999999; a&", "<b>&lt;", "x\"'\xa0y"]
+    assert one(html_text("c"), *odd) == want
