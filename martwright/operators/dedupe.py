@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.session import enable_checkpoints
+from martwright.session import enable_checkpoints, written
 
 
 def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -95,25 +95,19 @@ def with_rank(df: DataFrame, measure: str, by: list[str] | None = None, out: str
     return df.withColumn(out, F.rank().over(window).cast("bigint"))
 
 
-def with_rank_large(
-    df: DataFrame, measure: str, by: list[str] | None = None, out: str = "rank"
-) -> DataFrame:
-    """`with_rank` for large tables: no task ever holds a whole group.
+def value_ranks(counts: DataFrame, measure: str, by: list[str], n: str, out: str) -> DataFrame:
+    """Rank of each value of a measure, given how many rows (`n`) have it within its group `by`.
 
-    Counts the rows of each distinct value first (combined before the shuffle),
-    runs the totals over range slices of those counts, and joins the rank of each
-    value back. Runs a job at once (the checkpoint).
+    Runs the totals over range slices of the counts, so no task holds a whole group. Runs a
+    job at once (the checkpoint).
     """
-    by = by or []
-    keys = [*by, measure]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     sliced = _sliced(counts, [*(F.asc(c) for c in by), F.desc(measure)])
     earlier = (
         Window.partitionBy("_slice").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     )
     ahead = (
-        sliced.withColumn("_inner", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .join(_offsets(sliced, F.col("_n")), "_slice")
+        sliced.withColumn("_inner", F.coalesce(F.sum(n).over(earlier), F.lit(0)))
+        .join(_offsets(sliced, F.col(n)), "_slice")
         .withColumn("_ahead", F.col("_inner") + F.col("_before"))
     )
     if by:
@@ -122,8 +116,36 @@ def with_rank_large(
         )
         same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
         ahead = ahead.join(start, same).withColumn("_ahead", F.col("_ahead") - F.col("_start"))
-    ranks = ahead.select(
-        *(F.col(c).alias(f"_key_{c}") for c in keys), (F.col("_ahead") + 1).alias(out)
-    )
+    return ahead.select(*by, measure, (F.col("_ahead") + 1).alias(out))
+
+
+def with_ranks_large(
+    df: DataFrame, measure: str, by: list[str], overall: str, within: str
+) -> DataFrame:
+    """Both ranks by a measure, overall and within groups, for large tables.
+
+    The rows of each group and value are counted once; both ranks come from that table, and one
+    join takes them back to the rows.
+    """
+    counts = written(df.groupBy(*by, measure).agg(F.count(F.lit(1)).alias("_n")), "rank-counts")
+    whole = counts.groupBy(measure).agg(F.sum("_n").alias("_n"))
+    first = value_ranks(whole, measure, [], "_n", overall)
+    ranks = value_ranks(counts, measure, by, "_n", within)
+    both = _join_back(ranks, first, [measure])
+    return _join_back(df, both, [*by, measure])
+
+
+def _join_back(df: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    renamed = ranks.withColumnsRenamed({c: f"_key_{c}" for c in keys})
     same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys]
-    return df.join(ranks, same).drop(*(f"_key_{c}" for c in keys))
+    return df.join(renamed, same).drop(*(f"_key_{c}" for c in keys))
+
+
+def with_rank_large(
+    df: DataFrame, measure: str, by: list[str] | None = None, out: str = "rank"
+) -> DataFrame:
+    """`with_rank` for large tables: counts the rows of each distinct value (combined before
+    the shuffle), ranks the values and joins the rank of each back."""
+    by = by or []
+    counts = df.groupBy(*by, measure).agg(F.count(F.lit(1)).alias("_n"))
+    return _join_back(df, value_ranks(counts, measure, by, "_n", out), [*by, measure])

@@ -33,7 +33,7 @@ from martwright.operators import kpis, marts, quality, volumes
 from martwright.operators.dedupe import (
     dedupe_first,
     upsert_latest,
-    with_rank_large,
+    with_ranks_large,
     with_row_id,
 )
 from martwright.operators.lookup import map_lookup, map_value
@@ -533,8 +533,7 @@ def q_flag_pct(spark, folder):
 def item_rank(spark, folder):
     """Items ranked by size, overall and within their category, however many there are."""
     part = roles.sized_items(spark, folder)
-    ranked = with_rank_large(part, "size", out="size_rank")
-    return with_rank_large(ranked, "size", ["category"], "rank_in_category")
+    return with_ranks_large(part, "size", ["category"], "size_rank", "rank_in_category")
 
 
 # ---- sites -------------------------------------------------------------------

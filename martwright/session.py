@@ -14,6 +14,8 @@ def build_session(app: str = "martwright", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Checkpoints of row ids go once nothing refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Recording the call site of every Column makes building a plan several times slower.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
