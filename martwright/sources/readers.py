@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright import fixed
 
+log = logging.getLogger(__name__)
+
 
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
+    *,
+    multiline: bool,
     null_tokens: Sequence[str] = tuple(fixed.NULL_TOKENS),
-    multiline: bool = True,
 ) -> DataFrame:
     """CSV with a header row and quoted fields; blank and `null_tokens` become null.
 
     Fields are read as text and cast to the declared type, null where they do not
-    fit; a header that differs from the schema is an error. `multiline` is needed
-    for fields with line breaks but makes one task of each file: leave it off for
-    large single-line files, which Spark then splits.
+    fit; a header that differs from the schema is an error. The caller says whether
+    fields may hold line breaks: `multiline` makes one task of each file, without it
+    Spark splits large files.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     raw = (
@@ -45,12 +50,19 @@ def read_csv(
 
 
 def read_optional(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    multiline: bool = False,
 ) -> DataFrame:
-    """The table at `path`, or an empty one of the same schema if nothing is there."""
+    """The table at `path`, or an empty one of the same schema if nothing is there.
+
+    `multiline` is for CSV, see `read_csv`.
+    """
     try:
         if fmt == "csv":
-            return read_csv(spark, path, schema)
+            return read_csv(spark, path, schema, multiline=multiline)
         return spark.read.schema(schema).format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -63,15 +75,21 @@ def with_fallback(
 ) -> DataFrame:
     """The primary source if it gives at least `min_rows` rows, else the fallback.
 
-    Any error of the primary also means the fallback. Looks at no more than
-    `min_rows` rows of the primary, at once.
+    An error of Spark or of the file system in the primary also means the fallback;
+    any other error is one of the program and is raised. The branch taken is logged.
+    Looks at no more than `min_rows` rows of the primary, at once.
     """
     try:
         source = primary()
-        enough = len(source.select(F.lit(1)).take(min_rows)) >= min_rows
-    except Exception:
+        found = len(source.select(F.lit(1)).take(min_rows))
+    except (PySparkException, Py4JJavaError, OSError) as error:
+        log.warning("fallback: the primary source failed: %s", error)
+        return fallback
+    if found < min_rows:
+        log.warning("fallback: the primary source has %d rows of %d", found, min_rows)
         return fallback
-    return source if enough else fallback
+    log.info("the primary source has at least %d rows", min_rows)
+    return source
 
 
 def literal_table(spark: SparkSession, fields: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:

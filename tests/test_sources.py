@@ -36,7 +36,7 @@ SCHEMA = (
 def test_csv_scan(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text('id,text,ok,n\n1,"two\nlines, ""quoted""",True,1.5\nx,N/A,,null\n', "utf-8")
-    assert rows(read_csv(spark, str(path), SCHEMA)) == [
+    assert rows(read_csv(spark, str(path), SCHEMA, multiline=True)) == [
         (1, 'two\nlines, "quoted"', True, 1.5), (None, None, None, None),
     ]
 
@@ -51,7 +51,7 @@ def test_csv_with_another_header_fails(spark, tmp_path):
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "b"\nc', True, 0.5)], SCHEMA)
     write_csv(df, str(tmp_path / "out"))
-    assert rows(read_csv(spark, str(tmp_path / "out"), SCHEMA)) == rows(df)
+    assert rows(read_csv(spark, str(tmp_path / "out"), SCHEMA, multiline=True)) == rows(df)
 
 
 def test_optional(spark, tmp_path):
