@@ -19,6 +19,8 @@ from martwright.session import fresh_path
 
 #: Characters worked on at once inside a task; one longer text is taken alone.
 SLICE_CHARS = 1_000_000
+#: Bytes of an Arrow batch that a task works on, and sends back, at once.
+PART_BYTES = 8_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +63,7 @@ def append(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole)):
             made = work(*(batch.column(c) for c in inputs))
             columns = [batch.column(c) for c in kept] + list(made)
             columns = [c if c.type == t else c.cast(t) for c, t in zip(columns, types, strict=True)]
@@ -70,6 +72,13 @@ def append(
     return df.select(*needed).mapInArrow(run, schema)
 
 
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about PART_BYTES; they share the batch's memory."""
+    rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 

@@ -11,8 +11,8 @@ characters beyond the cut. A chunk's transfer matrix holds the best weight from
 start to each state at its end; matrices multiply associatively under (max, +).
 
 Where no piece joins the characters on both sides of a place (before a space mark that follows
-another character, around a character of no longer piece) every path has a border. Text between
-such places, a unit, is encoded once and remembered.
+another character, between any two characters that no piece joins) every path has a border. Text
+between such places, a unit, is encoded once and remembered.
 """
 
 from __future__ import annotations
@@ -21,9 +21,14 @@ import re
 from collections import defaultdict
 from itertools import chain
 
+import numpy as np
+
+from martwright.llm.merges import Merger
+
 SPACE = "▁"
 NEVER = float("-inf")
 START = ("", 0)  # the state before the first character, and at a place where all paths break
+LONGEST_MERGED = 256  # characters of a unit merged in arrays; longer ones go through the lattice
 Matrix = tuple[list, list, list]  # states in, states out, weights[in][out]
 
 
@@ -59,8 +64,10 @@ class PieceModel:
             self.table.append(raw)
         self.longest = max(map(len, self.ids), default=1)
         self.worst = min(self.scores.values(), default=0.0) - 10
-        joined = {c for p in self.ids if len(p) > 1 for c in p}
-        self.lines_break = "\n" not in joined
+        #: Neighbouring characters that some piece joins; between any others all paths break.
+        self.joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.merger = Merger(self.scores, self.ids, self.joined)
+        self.lines_break = not any("\n" in pair for pair in self.joined)
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("pieces over several words are not supported")
 
@@ -68,25 +75,32 @@ class PieceModel:
 class Encoder:
     """Encodes texts and chunks of texts; remembers up to `most` units and pairs."""
 
-    def __init__(self, model: PieceModel, most: int = 150_000):
+    def __init__(self, model: PieceModel, most: int = 300_000):
         self.model, self.most = model, most
         self.pairs: dict[tuple[str, str], float] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what is remembered of units. Their ids lie in one array, `starts` apart."""
         self.marked, self.plain = _Units(self, SPACE), _Units(self, "")
+        self.pending: list[str] = []
+        self.flat, self.starts = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        self.count = 0
 
     # -- weights ---------------------------------------------------------------------------
 
     def merged(self, text: str) -> list[str]:
         """Pieces by the model's merges: best score first, then leftmost."""
-        parts, scores = list(text), self.model.scores
-        while len(parts) > 1:
-            best, at = NEVER, -1
-            for i in range(len(parts) - 1):
-                score = scores.get(parts[i] + parts[i + 1], NEVER)
-                if score > best:
-                    best, at = score, i
-            if at < 0:
-                break
+        parts, score_of = list(text), self.model.scores.get
+        scores = [score_of(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while scores and (best := max(scores)) != NEVER:
+            at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at < len(scores):
+                scores[at] = score_of(parts[at] + parts[at + 1], NEVER)
+            if at:
+                scores[at - 1] = score_of(parts[at - 1] + parts[at], NEVER)
         return parts
 
     def weight(self, u: str, t: str) -> float:
@@ -161,13 +175,49 @@ class Encoder:
             at, piece = at - len(piece), back[at, piece]
         return pieces[::-1]
 
-    def unit(self, text: str) -> tuple[int, ...]:
-        """Ids of a unit: between places where every path breaks."""
-        if not text:
-            return ()
-        short = self.model.merges and len(text) <= 48
-        pieces = self.merged(text) if short else self.path(text, 0, len(text), START, START)
-        return tuple(chain.from_iterable(map(self.ids_of, pieces)))
+    def resolve(self) -> None:
+        """Encode the units met since the last time."""
+        texts, self.pending = self.pending, []
+        if not texts:
+            return
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        points = points.astype(np.int64)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        merger = self.model.merger
+        cut = merger.breaks(points)
+        cut[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+        starts = np.flatnonzero(cut)
+        parts = np.diff(starts, append=len(points))
+        unit = np.repeat(np.arange(len(texts)), sizes)[starts]
+        short = (parts <= LONGEST_MERGED) & self.model.merges
+        chosen = np.flatnonzero(short)
+        owner, symbols = merger.apply(points, starts[chosen], parts[chosen])
+        part = chosen[owner]
+        length, ids = self.ids_of_symbols(symbols)
+        part = np.repeat(part, length)
+        for i in np.flatnonzero(~short):
+            text = "".join(map(chr, points[starts[i] : starts[i] + parts[i]]))
+            own = list(chain.from_iterable(
+                map(self.ids_of, self.path(text, 0, len(text), START, START))
+            ))
+            part, ids = np.append(part, np.full(len(own), i)), np.append(ids, own)
+        order = np.argsort(part, kind="stable")
+        per_unit = np.bincount(unit[part], minlength=len(texts))
+        self.flat.append(ids[order].astype(np.int32))
+        self.starts.append(self.starts[-1][-1] + np.cumsum(per_unit))
+
+    def ids_of_symbols(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids per symbol, and the ids: bytes for characters without a piece."""
+        base = self.model.merger.base
+        length = np.ones(len(symbols), np.int64)
+        strange = np.flatnonzero(symbols >= base)
+        spelled = {s: self.ids_of(chr(s - base)) for s in np.unique(symbols[strange]).tolist()}
+        length[strange] = [len(spelled[s]) for s in symbols[strange].tolist()]
+        ids = np.repeat(symbols, length)
+        first = (np.cumsum(length) - length)[strange]
+        for at, s in zip(first.tolist(), symbols[strange].tolist(), strict=True):
+            ids[at : at + len(spelled[s])] = spelled[s]
+        return length, ids
 
     def ids_of(self, piece: str) -> tuple[int, ...]:
         model = self.model
@@ -179,14 +229,14 @@ class Encoder:
 
     # -- whole texts -----------------------------------------------------------------------
 
-    def units(self, text: str, marked: bool) -> list[tuple[int, ...]]:
-        """Units of escaped text; `marked`: the first word follows a space."""
+    def units(self, text: str, marked: bool) -> list[int]:
+        """Numbers of the units of a text; `marked`: the first word follows a space."""
         out = []
         for i, line in enumerate(text.split("\n") if self.model.lines_break else [text]):
             if i:
                 out.append(self.plain["\n"])
             words = line.split(" ")
-            if "" in words[1:] or (words[0] == "" and len(words) > 1):
+            if len(words) > 1 and (line[0] == " " or line[-1] == " " or "  " in line):
                 whole = (" " if marked and not i else "") + line
                 found = _UNIT.findall(whole.replace(" ", SPACE))
                 out += map(self.plain.__getitem__, found)
@@ -195,11 +245,31 @@ class Encoder:
             out += map(self.marked.__getitem__, words[1:])
         return out
 
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each text, and all ids."""
+        if self.count > self.most:
+            self.forget()
+        marked = bool(self.model.prefix)
+        found = [self.units(t, marked) if t else [] for t in texts]
+        per_text = np.fromiter(map(len, found), np.int64, len(found))
+        numbers = np.fromiter(chain.from_iterable(found), np.int64, per_text.sum())
+        return self._gather(numbers, per_text)
+
+    def _gather(self, numbers: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.resolve()
+        if len(self.flat) > 1:
+            self.starts, self.flat = [np.concatenate(self.starts)], [np.concatenate(self.flat)]
+        starts, flat = self.starts[0], self.flat[0]
+        size = np.diff(starts)[numbers]
+        ends = np.cumsum(size)
+        shift = np.repeat(starts[numbers] - (ends - size), size)
+        ids = flat[shift + np.arange(len(shift))]
+        upto = np.append(0, ends)[np.cumsum(per_text)]
+        return np.diff(upto, prepend=0), ids
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
-        if not text:
-            return []
-        return list(chain.from_iterable(self.units(text, bool(self.model.prefix))))
+        return self.encode_all([text])[1].tolist()
 
     def decode(self, ids) -> str:
         raw = b"".join(map(self.model.table.__getitem__, ids)).decode("utf-8", "replace")
@@ -278,7 +348,8 @@ class Encoder:
         ))
         plain = text[head + 1 : tail].replace(SPACE, " ")
         if tail > head:
-            ids += chain.from_iterable(self.units(plain, True))
+            numbers = np.array(self.units(plain, True), np.int64)
+            ids += self._gather(numbers, np.array([len(numbers)]))[1].tolist()
         ids += chain.from_iterable(map(self.ids_of, self.path(text, tail, stop, START, goes)))
         return ids
 
@@ -288,18 +359,18 @@ _BREAK = re.compile(f"(?<=[^{SPACE}]){SPACE}")
 
 
 class _Units(dict):
-    """Ids of units by their text without the mark."""
+    """Numbers of units by their text without the mark."""
 
     def __init__(self, encoder: Encoder, mark: str):
         super().__init__()
         self.encoder, self.mark = encoder, mark
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.encoder.unit(self.mark + word.replace(" ", SPACE))
-        if len(self) >= self.encoder.most:
-            self.clear()
-        self[word] = ids
-        return ids
+    def __missing__(self, word: str) -> int:
+        own = self.encoder
+        own.pending.append(self.mark + word.replace(" ", SPACE))
+        self[word] = number = own.count
+        own.count += 1
+        return number
 
 
 def compose(a: Matrix, b: Matrix) -> Matrix:

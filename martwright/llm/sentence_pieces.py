@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,27 +41,56 @@ def encode(
     keep: list[str] | None = None,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """Add `ids` (array of int). `model` is the content of a model file."""
+    """Add `ids` (array of int) and `round_trip`, whether they decode to the text.
+
+    `model` is the content of a model file. Decoding takes place beside encoding, in the same
+    worker, so that neither texts nor ids travel for it.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one vocabulary
 
     def make():
         encoder = Encoder(PieceModel(shared.value))
 
         def work(texts):
-            ids = [encoder.encode(t) for t in common.texts_of(texts)]
-            return [pa.array(ids, pa.list_(pa.int32()))]
+            texts, made, same = common.texts_of(texts), [], []
+            for a, b in common.slices(texts):
+                made.append(encoder.encode_all(texts[a:b]))
+                ends = np.cumsum(made[-1][0])
+                for t, s, e in zip(texts[a:b], ends - made[-1][0], ends, strict=True):
+                    same.append(encoder.decode(made[-1][1][s:e].tolist()) == t)
+            return [_lists(made), pa.array(same, pa.bool_())]
+
+        return work
+
+    def make_check():
+        encoder = Encoder(PieceModel(shared.value))
+
+        def work(texts, ids):
+            pairs = zip(texts, ids, strict=True)
+            return [pa.array([encoder.decode(i.as_py()) == t.as_py() for t, i in pairs], pa.bool_())]
 
         return work
 
-    short = common.append(docs.filter(~_long(text, chunk)), [text], "ids array<int>", make, keep)
+    short = common.append(
+        docs.filter(~_long(text, chunk)), [text], "ids array<int>, round_trip boolean", make, keep
+    )
     giants = common.written(
         docs.filter(_long(text, chunk)).withColumn("__row", F.monotonically_increasing_id()),
         "giant-texts",
     )
     found = _encode_giants(giants, shared, text, chunk)
-    kept = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
-    long = giants.select("__row", *kept).join(found, "__row").select(*kept, "ids")
-    return short.unionByName(long)
+    added = ("ids", "round_trip")
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    long = giants.drop(*added).join(found, "__row")
+    checked = common.append(long, [text, "ids"], "round_trip boolean", make_check, [*kept, "ids"])
+    return short.unionByName(checked)
+
+
+def _lists(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.ListArray:
+    """One list array of (sizes, values) pairs."""
+    sizes, ids = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ((), ())
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
 
 
 def _encode_giants(giants: DataFrame, shared, text: str, chunk: int) -> DataFrame:
@@ -178,7 +208,8 @@ def decode(
         encoder = Encoder(PieceModel(shared.value))
 
         def work(column):
-            return [pa.array([encoder.decode(i or []) for i in column.to_pylist()], pa.string())]
+            texts = (encoder.decode(i.as_py() or []) for i in column)
+            return [pa.array(texts, pa.string())]
 
         return work
 
