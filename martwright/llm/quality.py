@@ -29,7 +29,7 @@ from martwright.llm import common
 
 STATS = (
     "chars", "word_length", "letters", "digits", "upper", "space", "lines", "marks", "symbols",
-    "distinct", "top_word", "stated_chars",
+    "distinct", "top_word", "repeats", "stated_chars",
 )
 
 
@@ -97,20 +97,22 @@ BYTE_CLASS = _byte_classes()
 
 
 def word_features(texts: list[str], words: WordBuckets):
-    """(document, bucket, tf) of the hashed words, and the words of each document."""
-    counts = np.zeros(len(texts), np.int64)
+    """(document, bucket, tf) of the hashed words; each document's words, and how many of them
+    repeat the one before."""
+    counts, repeats = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
     parts = []
     for i, text in enumerate(texts):
         found = text.lower().split()
         counts[i] = len(found)
         parts.append(np.fromiter(map(words.__getitem__, found), np.int64, len(found)))
+        repeats[i] = np.count_nonzero(parts[-1][1:] == parts[-1][:-1])
     keys = np.repeat(np.arange(len(texts)), counts) * words.buckets
     keys += np.concatenate(parts) if parts else np.zeros(0, np.int64)
     keys, tf = np.unique(keys, return_counts=True)
-    return keys // words.buckets, keys % words.buckets, tf, counts
+    return keys // words.buckets, keys % words.buckets, tf, counts, repeats
 
 
-def structure(texts: list[str], stated: np.ndarray, doc, tf, counts) -> np.ndarray:
+def structure(texts: list[str], stated: np.ndarray, doc, tf, counts, repeats) -> np.ndarray:
     """The statistics of STATS per document; nan where there is none."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     size = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -124,7 +126,7 @@ def structure(texts: list[str], stated: np.ndarray, doc, tf, counts) -> np.ndarr
     return np.stack(
         [
             np.log2(1 + size), size / words, low + up, digit, up, space, line, mark, symbol,
-            distinct / words, top / words, np.log2(1 + np.maximum(stated, 0)),
+            distinct / words, top / words, repeats / words, np.log2(1 + np.maximum(stated, 0)),
         ],
         axis=1,
     )
@@ -132,9 +134,9 @@ def structure(texts: list[str], stated: np.ndarray, doc, tf, counts) -> np.ndarr
 
 def vectors(texts: list[str], stated: np.ndarray, words: WordBuckets):
     """Sparse word part (doc, bucket, x) and the raw statistics."""
-    doc, bucket, tf, counts = word_features(texts, words)
+    doc, bucket, tf, counts, repeats = word_features(texts, words)
     x = np.sqrt(tf / np.maximum(counts, 1)[doc])
-    return doc, bucket, x.astype(np.float32), structure(texts, stated, doc, tf, counts)
+    return doc, bucket, x.astype(np.float32), structure(texts, stated, doc, tf, counts, repeats)
 
 
 def binned(stats: np.ndarray, edges: np.ndarray, params: FMParams) -> np.ndarray:
@@ -150,7 +152,7 @@ def binned(stats: np.ndarray, edges: np.ndarray, params: FMParams) -> np.ndarray
 # -- model ---------------------------------------------------------------------------------
 
 #: Weight of a statistic's entry beside the words, whose squares sum to one.
-STAT_X = np.float32(0.5)
+STAT_X = np.float32(1.0)
 
 
 def logits(model: FMModel, doc, bucket, x, stats) -> np.ndarray:
