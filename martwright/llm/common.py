@@ -7,7 +7,9 @@ counts as empty.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,16 @@ SLICE_CHARS = 1_000_000
 PART_BYTES = 8_000_000
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if they can see it."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -52,6 +63,7 @@ def append(
     `inputs`, to Arrow arrays in the order of `outputs`. No rows move between tasks. `keep`
     names the columns that stay, all by default.
     """
+    importable(df.sparkSession)
     added = T.StructType.fromDDL(outputs)
     names = [f.name for f in added]
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
