@@ -1,35 +1,39 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
 
-A seed hashes the words that a fixed mask picks from a window of `SPAN` words and ignores the
-rest, so a hit survives substitutions under the ignored places. Benchmark items give a seed for
-every mask at every position; documents give them at every `STRIDE`-th position, which meets
-every shared run of SPAN + STRIDE - 1 words all the same. Seeds are joined on their hash; each
-hit fixes an alignment of item and document, and the alignment counts if, in some window of
-`window` item words (the whole item if shorter), at least `share` of the words are equal.
+A seed hashes the words that a fixed mask picks from a window and ignores the rest, so a hit
+survives substitutions under the ignored places. Items and documents give seeds at every position.
+The masks follow from the lengths of the items (`masks_for`): for each length they meet every
+substitution pattern that the check below accepts, so no alignment it would count is missed. Seeds
+are joined on their hash; each hit fixes an alignment of item and document, and the alignment
+counts if, in some window of `window` item words (the whole item if shorter), at least `share` of
+the words are equal.
 
 Words are lower-cased runs of letters and digits. The benchmark is joined in blocks of bounded
 size: long items are cut into overlapping pieces, and pieces are dealt over as many blocks as
 keep each under `block_words` words, counted before the join. Only a block is ever broadcast.
 
-Edge cases: null and empty texts hold no seed; items with fewer words than a mask spans are too
-short to tell from chance and match nothing; repeated documents are each found, rows that repeat
+Edge cases: null and empty texts hold no seed; items of few words are held to the same share (up to
+four words at 80 % must be equal in all); repeated documents are each found, rows that repeat
 a key and an item give one result; a null key is a key of its own. Without benchmark items or
 documents the result is empty.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm import common
 
-#: Places of the window that a mask looks at; all masks span SPAN words.
-MASKS = ((0, 1, 3, 4, 7), (0, 2, 3, 6, 7), (0, 1, 4, 5, 7))
-SPAN = 8
-STRIDE = 2
+Mask = tuple[int, ...]
+#: A run of equal words, which most lengths need alone, and what the others add to it.
+RUN: Mask = (0, 1, 2, 3)
+SPACED: tuple[Mask, ...] = ((0, 1, 3, 4), (0, 2, 3, 4), (0, 1, 2, 4))
+PATTERNS = 100_000  # substitution patterns that are tried out for one length
 PIECE = 256  # item words per piece, besides the overlap
 BLOCK_WORDS = 200_000
 
@@ -38,31 +42,50 @@ def words_of(text: str) -> Column:
     return F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+")
 
 
-def _starts(words: Column, stride: int) -> Column:
-    """Places of the windows."""
-    places = F.sequence(F.lit(0), F.size(words) - SPAN, F.lit(stride))
-    return F.when(F.size(words) >= SPAN, places).otherwise(F.array().cast("array<int>"))
+def masks_for(length: int, share: float) -> list[Mask]:
+    """Masks of which one at least meets any `length` words with a share of `share` equal.
 
-
-def _seed(words: Column, number: int, place: Column) -> Column:
-    """Hash of the words that a mask picks from the window at a place."""
-    return F.xxhash64(F.lit(number), *[F.get(words, place + o) for o in MASKS[number]])
-
-
-def _exploded(df: DataFrame, words: Column, stride: int, *keep: str) -> DataFrame:
+    The equal words lie in at most one run more than there are substitutions, so the longest run
+    has the mean length at least. Where that is shorter than RUN, spaced masks are tried on all
+    patterns; if they do not meet all, the mask is that shorter run.
+    """
+    least = max(1, math.ceil(length * share))
+    changed = length - least
+    if changed < 0:
+        return []
+    run = -(-least // (changed + 1))
+    if run >= len(RUN):
+        return [RUN]
+    if least >= len(RUN) and math.comb(length, changed) <= PATTERNS:
+        missed, chosen = [set(p) for p in combinations(range(length), changed)], []
+        for mask in (RUN, *SPACED):
+            placed = [[i + o for o in mask] for i in range(length - mask[-1])]
+            still = [m for m in missed if not any(m.isdisjoint(p) for p in placed)]
+            if len(still) < len(missed):
+                missed, chosen = still, [*chosen, mask]
+        if not missed:
+            return chosen
+    return [tuple(range(run))]
+
+
+def _seeds(words: Column, mask: Mask) -> Column:
+    """The seeds of a mask at all places of the words."""
+
+    def seed(i: Column) -> Column:
+        picked = F.xxhash64(F.lit(str(mask)), *[F.get(words, i + o) for o in mask])
+        return F.struct(picked.alias("seed"), i.alias("place"))
+
+    last = F.size(words) - (mask[-1] + 1)
+    places = F.when(last >= 0, F.sequence(F.lit(0), last))
+    return F.transform(places.otherwise(F.array().cast("array<int>")), seed)
+
+
+def _exploded(df: DataFrame, seeds: list[Column], *keep: str) -> DataFrame:
     """A row per seed: the columns `keep`, the seed and its place; never the words.
 
     The explode is an outer one: Catalyst adds a filter to an inner one that computes all again.
     """
-    starts = _starts(words, stride)
-
-    def placed(number: int) -> Column:
-        return F.transform(
-            starts, lambda i: F.struct(_seed(words, number, i).alias("seed"), i.alias("place"))
-        )
-
-    found = F.concat(*[placed(n) for n in range(len(MASKS))])
-    made = df.select(*keep, F.explode_outer(found).alias("__s"))
+    made = df.select(*keep, F.explode_outer(F.concat(*seeds)).alias("__s"))
     return made.select(*keep, F.col("__s.seed").alias("__seed"), F.col("__s.place").alias("__pos"))
 
 
@@ -70,7 +93,7 @@ def _pieces(benchmark: DataFrame, item: str, text: str, window: int, block_words
     """Pieces of the items with their block, and the number of blocks."""
     words = F.filter(words_of(text), lambda w: w != "")
     whole = benchmark.select(F.col(item).alias("__item"), words.alias("__w")).filter(
-        F.size("__w") >= SPAN
+        F.size("__w") > 0
     )
     starts = F.sequence(F.lit(0), F.greatest(F.size("__w") - window, F.lit(0)), F.lit(PIECE))
     pieces = whole.select("__item", "__w", F.explode(starts).alias("__start")).select(
@@ -120,12 +143,24 @@ def overlaps(
     `first_word` is where the item, or its piece, would start in the document's words.
     """
     pieces, blocks = _pieces(benchmark, item, item_text, window, block_words)
+    wide = F.least(F.size("__iw"), F.lit(window))
+    lengths = [r["n"] for r in pieces.select(wide.alias("n")).distinct().collect()]  # <= window
+    used: dict[Mask, list[int]] = {}
+    for n in sorted(lengths):
+        for mask in masks_for(n, share):
+            used.setdefault(mask, []).append(n)
+    used = used or {RUN: []}
     texts = docs.select(F.col(key).alias("__key"), words_of(text).alias("__words"))
-    placed = _exploded(texts, F.col("__words"), STRIDE, "__key")
+    placed = _exploded(texts, [_seeds(F.col("__words"), mask) for mask in used], "__key")
+    none = F.array().cast("array<struct<seed:bigint,place:int>>")
+    of_item = [
+        F.when(wide.isin(own), _seeds(F.col("__iw"), mask)).otherwise(none)
+        for mask, own in used.items()
+    ]
     found = []
     for block in range(blocks):
         own = pieces.filter(F.col("__block") == block)
-        seeds = _exploded(own, F.col("__iw"), 1, "__item", "__start")
+        seeds = _exploded(own, of_item, "__item", "__start")
         hits = placed.join(
             F.broadcast(seeds.withColumnRenamed("__pos", "__ipos")), "__seed"
         )  # seeds of at most block_words words
@@ -138,7 +173,7 @@ def overlaps(
         texts.join(aligned, F.col("__key").eqNullSafe(F.col("__hit")))
         .join(pieces, F.col("__item").eqNullSafe(F.col("__i")) & (F.col("__start") == F.col("__s")))
         .select(
-            "__key", "__item", "__from", F.least(F.size("__iw"), F.lit(window)).alias("__wide"),
+            "__key", "__item", "__from", wide.alias("__wide"),
             _matched("__words", window).alias("__matched"),
         )
         .filter(F.col("__matched") >= F.col("__wide") * share)

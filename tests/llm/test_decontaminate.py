@@ -1,7 +1,10 @@
 from odd_rows import no_docs, odd_docs  # noqa: F401
 
+import itertools
+import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from martwright.llm import decontaminate as dec
@@ -65,6 +68,64 @@ def test_place_and_count(spark):
     assert [tuple(r) for r in dec.overlaps(docs, bench).collect()] == [(7, 3, 20, 20, 5)]
 
 
+@pytest.mark.parametrize("length", range(1, 21))
+def test_masks_meet_every_accepted_pattern(length):
+    """Every way to change as many words as the check forgives leaves a whole mask."""
+    masks = dec.masks_for(length, 0.8)
+    placed = [{i + o for o in m} for m in masks for i in range(length - m[-1])]
+    changed = length - math.ceil(length * 0.8)
+    for pattern in itertools.combinations(range(length), changed):
+        assert any(p.isdisjoint(pattern) for p in placed), (masks, pattern)
+
+
+def test_short_items_odd_places_and_all_changes(spark):
+    """Items of 1 to 21 words, at even and odd places, with as many changes as are accepted."""
+    items = [[f"i{n}x{k}" for k in range(n)] for n in range(1, 22)]
+    docs = []
+    for item in items:
+        wide = min(20, len(item))
+        for change in (0, wide - math.ceil(0.8 * wide), wide - math.ceil(0.8 * wide) + 1):
+            for lead in (0, 1, 2, 3):
+                own = list(item)
+                for i in RNG.sample(range(wide), change):
+                    own[i] = "changed"
+                docs.append(words(lead) + own + words(5))
+    frame = spark.createDataFrame(
+        [(n, " ".join(d)) for n, d in enumerate(docs)], "doc_id long, text string"
+    )
+    bench = spark.createDataFrame(
+        [(n, " ".join(i)) for n, i in enumerate(items)], "item_id long, text string"
+    )
+    want = {
+        (n, m)
+        for n, d in enumerate(docs)
+        for m, i in enumerate(items)
+        if brute(d, i, 20, 0.8)
+    }
+    found = {(r["doc_id"], r["item_id"]) for r in dec.overlaps(frame, bench).collect()}
+    assert found == want and len(want) >= 8 * len(items)
+
+
+@pytest.mark.parametrize("window, share", [(8, 0.5), (12, 0.75), (30, 0.9), (20, 1.0)])
+def test_other_limits(spark, window, share):
+    items = [words(n) for n in (3, 8, 14, 40)]
+    docs = [planted(i, c) for i in items for c in (0, 1, 2, 3)] + [words(40) for _ in range(4)]
+    frame = spark.createDataFrame(
+        [(n, " ".join(d)) for n, d in enumerate(docs)], "doc_id long, text string"
+    )
+    bench = spark.createDataFrame(
+        [(n, " ".join(i)) for n, i in enumerate(items)], "item_id long, text string"
+    )
+    want = {
+        (n, m)
+        for n, d in enumerate(docs)
+        for m, i in enumerate(items)
+        if brute(d, i, window, share)
+    }
+    found = dec.overlaps(frame, bench, window=window, share=share)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want and want
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     fox = "The quick, brown fox jumps over the lazy dog!"
     bench = spark.createDataFrame(
