@@ -5,15 +5,19 @@ A small network in numpy predicts a token from the `SIDE` tokens on both of its
     P(w | sides) = P(class of w | h) P(w | class, h)
 The vocabulary is cut into classes of equal size by frequency, so that a token costs two short
 softmaxes. A document's score is the sum of the conditional log-probabilities of all its tokens,
-each masked in turn.
+each masked in turn. Without given params the vocabulary is open: a word outside the most frequent
+ones costs, besides the network's probability of an unknown word, that of its letters,
+    P(w | unknown) = product over characters of P(c | the two before it),
+from trigram counts over all such words of the corpus, smoothed down to a uniform distribution over
+all code points (Witten-Bell), so that a rare or garbled word is charged for what it says.
 
 What is gathered grows with the corpus: word counts over all documents (each task sends what it
-has counted, Spark adds up), then weights. Training is iterative parameter mixing: in each round
+has counted, Spark adds up), the trigrams of the rare ones, then weights. Training is iterative parameter mixing: in each round
 every task takes one pass over its own documents, masking every `mask_every`-th token, and sends
 its weights with the number of targets seen; Spark averages them block by block, as a stream.
 
-Edge cases: null and empty texts have no token, log-probability 0 and a null mean; words outside
-the vocabulary are one unknown token; places beyond the text are a padding token; repeated rows
+Edge cases: null and empty texts have no token, log-probability 0 and a null mean; with given
+params words outside the vocabulary are one unknown token and no more; places beyond the text are a padding token; repeated rows
 are scored alike (and count in training as often as they occur). Ties in frequency go to the
 alphabetically first word. Without documents there is nothing to score.
 """
@@ -21,7 +25,7 @@ alphabetically first word. Without documents there is nothing to score.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -50,6 +54,7 @@ class LMParams:
     batch: int = 512
     rate: float = 0.1
     seed: int = 11
+    spelled: bool = False  # words outside the vocabulary are charged for their letters
 
     @property
     def size(self) -> int:
@@ -106,6 +111,61 @@ class Tokens(dict):
         return UNKNOWN
 
 
+START, STOP = "\n", " "  # never in a word, which holds no white space
+CHARACTERS = 0x110000
+
+
+class Spelling(dict):
+    """Log-probability of the letters of a word; remembers up to COUNTED words."""
+
+    def __init__(self, trigrams: Iterable[tuple[str, int]]):
+        super().__init__()
+        # Per context of 2, 1 and 0 characters: how often each followed; in all, and how many kinds.
+        self.seen: tuple[dict[str, int], ...] = ({}, {}, {})
+        self.total: tuple[dict[str, list[int]], ...] = ({}, {}, {})
+        for three, n in trigrams:
+            for k in range(3):
+                self.seen[k][three[k:]] = self.seen[k].get(three[k:], 0) + n
+        for seen, total in zip(self.seen, self.total, strict=True):
+            for gram, n in seen.items():
+                both = total.setdefault(gram[:-1], [0, 0])
+                both[0] += n
+                both[1] += 1
+        self.steps: dict[str, float] = {}
+
+    def step(self, three: str) -> float:
+        """Log-probability of the third character after the other two."""
+        p = 1 / CHARACTERS
+        for k in (2, 1, 0):
+            if both := self.total[k].get(three[k:-1]):
+                p = (self.seen[k].get(three[k:], 0) + both[1] * p) / (both[0] + both[1])
+        if len(self.steps) >= COUNTED:
+            self.steps.clear()
+        self.steps[three] = found = float(np.log(p))
+        return found
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= COUNTED:
+            self.clear()
+        own, steps = START * 2 + word + STOP, self.steps
+        found = 0.0
+        for i in range(len(own) - 2):
+            three = own[i : i + 3]
+            known = steps.get(three)
+            found += self.step(three) if known is None else known
+        self[word] = found
+        return found
+
+
+def spelled_sums(texts: list[str], flat: np.ndarray, spelling: Spelling) -> np.ndarray:
+    """Per place, what the letters of an unknown word cost; 0 for the others."""
+    out = np.zeros(len(flat))
+    words = list(chain.from_iterable(t.lower().split() for t in texts))
+    unknown = np.flatnonzero(flat == UNKNOWN)
+    out[unknown] = np.fromiter((spelling[words[i]] for i in unknown.tolist()), float, len(unknown))
+    return out
+
+
 def tokenise(texts: list[str], tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All tokens with SIDE paddings around each text, places of real ones, number per text."""
     found = [t.lower().split() for t in texts]
@@ -206,10 +266,11 @@ class LMModel:
     params: LMParams
     words: list[str]
     weights: Weights
+    trigrams: list[tuple[str, int]] | None = None  # of the words outside, if those are spelled
 
 
-def vocabulary(docs: DataFrame, size: int, text: str = "text") -> list[str]:
-    """The most frequent words over all documents."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every word of the documents and how often it occurs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
@@ -224,19 +285,58 @@ def vocabulary(docs: DataFrame, size: int, text: str = "text") -> list[str]:
         yield _counted(counts)
 
     counted = docs.select(text).mapInArrow(count, "word string, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(counts: DataFrame, size: int) -> list[str]:
+    """The most frequent words."""
+    top = counts.orderBy(F.desc("n"), "word")
     return [r["word"] for r in top.limit(size).collect()]
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
+def trigrams_outside(counts: DataFrame, words: list[str]) -> list[tuple[str, int]]:
+    """Trigrams of all words outside the vocabulary, with how often they occur.
+
+    There are as many as the scripts of the corpus allow, not as it has words.
+    """
+    known = counts.sparkSession.sparkContext.broadcast(frozenset(words))  # size fixed by LMParams
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, int] = {}
+        for batch in batches:
+            for word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if word in known.value:
+                    continue
+                own = START * 2 + word + STOP
+                for i in range(len(own) - 2):
+                    three = own[i : i + 3]
+                    sums[three] = sums.get(three, 0) + n
+                if len(sums) >= COUNTED:
+                    yield _counted(sums)
+                    sums.clear()
+        yield _counted(sums)
+
+    made = counts.mapInArrow(cut, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [(r["word"], r["n"]) for r in made.collect()]
+
+
+def _counted(counts: dict[str, int]) -> pa.RecordBatch:
     columns = [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())]
     return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
 
 
-def train(docs: DataFrame, params: LMParams = LMParams(), text: str = "text") -> LMModel:
-    """Vocabulary and weights from all documents."""
+#: What a model is trained with if nothing else is asked for.
+OPEN = LMParams(spelled=True)
+
+
+def train(docs: DataFrame, params: LMParams = OPEN, text: str = "text") -> LMModel:
+    """Vocabulary, spelling and weights from all documents."""
     session = docs.sparkSession
-    words = vocabulary(docs, params.size - 2, text)
+    counts = word_counts(docs, text)
+    if params.spelled:
+        counts = common.written(counts, "word-counts")  # read twice
+    words = vocabulary(counts, params.size - 2)
+    trigrams = trigrams_outside(counts, words) if params.spelled else None
     weights = initial(params)
     for turn in range(params.rounds):
         shared = session.sparkContext.broadcast(LMModel(params, words, weights))  # fixed size
@@ -289,17 +389,19 @@ def train(docs: DataFrame, params: LMParams = LMParams(), text: str = "text") ->
             flat = np.concatenate([np.array(r["total"]) / r["targets"] for r in found])
             weights = unpacked(flat, params)
         shared.unpersist()
-    return LMModel(params, words, weights)
+    return LMModel(params, words, weights, trigrams)
 
 
 def score(
     docs: DataFrame, model: LMModel, text: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
     """Add `n_tokens`, `log_prob` (the sum) and `mean_log_prob` (null without a token)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # size fixed by LMParams
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # LMParams, and the trigrams seen
 
     def make():
         tokens = Tokens(shared.value.words)
+        trigrams = shared.value.trigrams
+        spelling = None if trigrams is None else Spelling(trigrams)
 
         def work(texts):
             texts = common.texts_of(texts)
@@ -307,6 +409,8 @@ def score(
             for a, b in common.slices(texts):
                 padded, places, n = tokenise(texts[a:b], tokens)
                 logs = log_probabilities(shared.value.weights, padded, places)
+                if spelling is not None:
+                    logs += spelled_sums(texts[a:b], padded[places], spelling)
                 counts.append(n)
                 sums.append(common.segment_sums(logs, n))
             n = np.concatenate(counts) if counts else np.zeros(0, np.int64)

@@ -65,3 +65,37 @@ def test_odd_rows(odd_docs, no_docs):
         assert (out[key]["n_tokens"], out[key]["log_prob"], out[key]["mean_log_prob"]) == (0, 0.0, None)
     assert out[5]["n_tokens"] == 40_000 and np.isfinite(out[5]["log_prob"])
     assert lm.score(no_docs, lm.train(no_docs, SMALL)).count() == 0
+
+
+def test_spelling_adds_up_to_one_and_knows_its_words():
+    counts = {"ab": 5, "abc": 3, "b": 2}
+    grams = {}
+    for word, n in counts.items():
+        own = lm.START * 2 + word + lm.STOP
+        for i in range(len(own) - 2):
+            grams[own[i : i + 3]] = grams.get(own[i : i + 3], 0) + n
+    spelling = lm.Spelling(grams.items())
+    for context in ("\n\n", "\na", "ab", "zz"):
+        seen = sum(np.exp(spelling.step(context + c)) for c in ("a", "b", "c", " "))
+        rest = np.exp(spelling.step(context + "q")) * (lm.CHARACTERS - 4)
+        assert abs(seen + rest - 1) < 1e-9
+    assert spelling["ab"] > spelling["abc"] > spelling["ba"] > spelling["qq"]
+
+
+def test_garbled_words_cost_more_than_rare_ones(spark):
+    """Both texts are unknown tokens throughout; only their letters tell them apart."""
+    rows = [(n, " ".join(r["text"].split())) for n, r in enumerate(table(spark, DATA, "documents").collect())]
+    counts = {}
+    for _, text in rows:
+        for w in text.lower().split():
+            counts[w] = counts.get(w, 0) + 1
+    rare = sorted(w for w, n in counts.items() if n == 2 and w.isalpha())[::20][:40]
+    rng = np.random.default_rng(3)
+    garbled = ["".join(rng.choice(list("qxzjkwvy"), len(w))) for w in rare]
+    rows += [(-1, " ".join(rare)), (-2, " ".join(garbled))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm.train(docs.filter("doc_id >= 0"))
+    assert model.params.spelled and not {*rare, *garbled} & {*model.words}
+    out = {r["doc_id"]: r for r in lm.score(docs, model, keep=["doc_id"]).collect() if r["doc_id"] < 0}
+    assert out[-1]["n_tokens"] == out[-2]["n_tokens"] == len(rare)
+    assert out[-1]["mean_log_prob"] > out[-2]["mean_log_prob"] + 5
