@@ -13,8 +13,9 @@ all code points (Witten-Bell), so that a rare or garbled word is charged for wha
 
 What is gathered grows with the corpus: word counts over all documents (each task sends what it
 has counted, Spark adds up), the trigrams of the rare ones, then weights. Training is iterative parameter mixing: in each round
-every task takes one pass over its own documents, masking every `mask_every`-th token, and sends
-its weights with the number of targets seen; Spark averages them block by block, as a stream.
+every task goes over its own documents, masking every `mask_every`-th token from one phase after
+another. The phases are dealt over the rounds, so that every token is a target at least once. Then
+it sends its weights with the number of targets seen; Spark averages them block by block, as a stream.
 
 Edge cases: null and empty texts have no token, log-probability 0 and a null mean; with given
 params words outside the vocabulary are one unknown token and no more; places beyond the text are a padding token; repeated rows
@@ -41,6 +42,7 @@ SIDE = 2
 PAD, UNKNOWN = 0, 1
 COUNTED = 200_000  # distinct words a task holds before it sends its counts
 BLOCK = 4096  # weights averaged together
+TILE = 16  # rows of one class that a training step works on together
 
 
 @dataclass(frozen=True)
@@ -50,12 +52,16 @@ class LMParams:
     width: int = 16
     hidden: int = 32
     rounds: int = 2
-    mask_every: int = 32  # in each round, at another phase
+    mask_every: int = 32  # targets of one phase; the rounds share the phases
     batch: int = 512
     rate: float = 0.1
     seed: int = 11
     spelled: bool = False  # words outside the vocabulary are charged for their letters
 
+    def phases(self, turn: int) -> range:
+        """Where the masks of a round start; over all rounds each phase comes at least once."""
+        return range(turn % self.mask_every, self.mask_every, self.rounds)
+
     @property
     def size(self) -> int:
         return self.classes * self.per_class
@@ -192,12 +198,20 @@ def _log_chosen(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return z[np.arange(len(z)), chosen] - top - np.log(total)
 
 
-def _hidden(w: Weights, padded: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    context = np.stack([padded[places + o] for o in PLACES], axis=1)
-    seen = w["embed"][context].reshape(len(places), -1)
+def _context(padded: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return np.stack([padded[places + o] for o in PLACES], axis=1)
+
+
+def _hidden(w: Weights, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    seen = w["embed"][context].reshape(len(context), -1)
     return seen, np.tanh(seen @ w["mix"] + w["bias"])
 
 
+def _order(values: np.ndarray, limit: int) -> np.ndarray:
+    """Stable order of values below a limit; short integers are sorted by their digits."""
+    return np.argsort(values.astype(np.uint16) if limit <= 1 << 16 else values, kind="stable")
+
+
 def log_probabilities(w: Weights, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Log-probability of the token at each place, given those on both sides."""
     per_class = w["inner"].shape[2]
@@ -205,10 +219,10 @@ def log_probabilities(w: Weights, padded: np.ndarray, places: np.ndarray) -> np.
     for a in range(0, len(places), 1 << 15):
         own = places[a : a + (1 << 15)]
         target = padded[own]
-        _, h = _hidden(w, padded, own)
+        _, h = _hidden(w, _context(padded, own))
         group, member = target // per_class, target % per_class
         part = _log_chosen(h @ w["outer"] + w["outer_bias"], group)
-        order = np.argsort(group, kind="stable")
+        order = _order(group, w["inner"].shape[0])
         cuts = np.searchsorted(group[order], np.arange(w["inner"].shape[0] + 1))
         for c, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if e > s:
@@ -227,34 +241,50 @@ class Trainer:
         self.seen = {n: np.full(x.shape, 1e-4, np.float32) for n, x in weights.items()}
 
     def _move(self, name: str, grad: np.ndarray, rows=slice(None)) -> None:
-        self.seen[name][rows] += grad * grad
-        self.w[name][rows] -= self.params.rate * grad / np.sqrt(self.seen[name][rows])
+        seen = self.seen[name][rows] + grad * grad
+        self.seen[name][rows] = seen
+        self.w[name][rows] -= self.params.rate * grad / np.sqrt(seen)
 
     def step(self, padded: np.ndarray, places: np.ndarray) -> None:
         w, n = self.w, len(places)
         target = padded[places]
         group, member = target // self.params.per_class, target % self.params.per_class
-        seen, h = _hidden(w, padded, places)
+        context = _context(padded, places)
+        seen, h = _hidden(w, context)
         d_outer = _softmax(h @ w["outer"] + w["outer_bias"])
         d_outer[np.arange(n), group] -= 1
         d_h = d_outer @ w["outer"].T
-        order = np.argsort(group, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
-            c = group[rows[0]]
-            d = _softmax(h[rows] @ w["inner"][c] + w["inner_bias"][c])
-            d[np.arange(len(rows)), member[rows]] -= 1
-            d_h[rows] += d @ w["inner"][c].T
-            self._move("inner", h[rows].T @ d / n, c)
-            self._move("inner_bias", d.sum(axis=0) / n, c)
+        # Rows by class, each class filled up to whole tiles, so that all are worked on at once.
+        order = _order(group, self.params.classes)
+        sizes = np.bincount(group)
+        used = np.flatnonzero(sizes)
+        counts, tiles = sizes[used], -(-sizes[used] // TILE)
+        first = np.cumsum(tiles) - tiles
+        slot = np.repeat(first * TILE - (np.cumsum(counts) - counts), counts) + np.arange(n)
+        tiled = np.zeros((tiles.sum() * TILE, h.shape[1]), h.dtype)
+        tiled[slot] = h[order]
+        tiled = tiled.reshape(-1, TILE, h.shape[1])
+        of_tile = np.repeat(used, tiles)
+        inner = w["inner"][of_tile]
+        p = _softmax(tiled @ inner + w["inner_bias"][of_tile][:, None]).reshape(-1, inner.shape[2])
+        d = np.zeros_like(p)
+        d[slot] = p[slot]
+        d[slot, member[order]] -= 1
+        d = d.reshape(*tiled.shape[:2], -1)
+        d_h[order] += (d @ inner.transpose(0, 2, 1)).reshape(-1, h.shape[1])[slot]
+        self._move("inner", np.add.reduceat(tiled.transpose(0, 2, 1) @ d, first) / n, used)
+        self._move("inner_bias", np.add.reduceat(d.sum(axis=1), first) / n, used)
         d_z = d_h * (1 - h * h)
         d_seen = (d_z @ w["mix"].T / n).reshape(-1, self.params.width)
         self._move("outer", h.T @ d_outer / n)
         self._move("outer_bias", d_outer.sum(axis=0) / n)
         self._move("mix", seen.T @ d_z / n)
         self._move("bias", d_z.sum(axis=0) / n)
-        context = np.stack([padded[places + o] for o in PLACES], axis=1).ravel()
-        by = np.argsort(context, kind="stable")
-        used, counts = np.unique(context[by], return_counts=True)
+        context = context.ravel()
+        by = _order(context, self.params.size)
+        counts = np.bincount(context)
+        used = np.flatnonzero(counts)
+        counts = counts[used]
         self._move("embed", common.segment_sums(d_seen[by], counts), used)
 
 
@@ -348,10 +378,11 @@ def train(docs: DataFrame, params: LMParams = OPEN, text: str = "text") -> LMMod
                 texts = common.texts_of(batch.column(0))
                 for a, b in common.slices(texts):
                     padded, places, _ = tokenise(texts[a:b], tokens)
-                    masked = places[turn * params.mask_every // params.rounds :: params.mask_every]
-                    for s in range(0, len(masked), params.batch):
-                        trainer.step(padded, masked[s : s + params.batch])
-                    targets += len(masked)
+                    for phase in params.phases(turn):
+                        masked = places[phase :: params.mask_every]
+                        for s in range(0, len(masked), params.batch):
+                            trainer.step(padded, masked[s : s + params.batch])
+                        targets += len(masked)
             if targets:
                 flat = packed(trainer.w) * targets
                 blocks = [flat[s : s + BLOCK] for s in range(0, len(flat), BLOCK)]

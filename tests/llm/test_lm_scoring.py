@@ -99,3 +99,35 @@ def test_garbled_words_cost_more_than_rare_ones(spark):
     out = {r["doc_id"]: r for r in lm.score(docs, model, keep=["doc_id"]).collect() if r["doc_id"] < 0}
     assert out[-1]["n_tokens"] == out[-2]["n_tokens"] == len(rare)
     assert out[-1]["mean_log_prob"] > out[-2]["mean_log_prob"] + 5
+
+
+def test_every_token_is_a_target(spark):
+    """With the production params, also where each task has one text of fewer words than the stride."""
+    for rounds in (1, 2, 3, 40):
+        params = lm.LMParams(rounds=rounds)
+        phases = {p for turn in range(rounds) for p in params.phases(turn)}
+        assert phases == set(range(params.mask_every))
+    docs = spark.createDataFrame([(n, "only five short words here") for n in range(6)], "doc_id long, text string")
+    model = lm.train(docs.repartition(6, "doc_id"))
+    assert not np.array_equal(model.weights["outer_bias"], lm.initial(model.params)["outer_bias"])
+    scored = lm.score(docs, model).collect()
+    # The last place is reached by the fifth phase only.
+    padded, places, _ = lm.tokenise(["only five short words here"], lm.Tokens(model.words))
+    start = lm.log_probabilities(lm.initial(model.params), padded, places)
+    assert (lm.log_probabilities(model.weights, padded, places) > start).all() and len(scored) == 6
+
+
+def test_production_params_learn_more_than_a_sixteenth_teaches(spark):
+    docs = table(spark, DATA, "documents")
+    model = lm.train(docs)
+    texts = [r["text"] or "" for r in docs.collect()]
+    padded, places, _ = lm.tokenise(texts, lm.Tokens(model.words))
+    few = lm.Trainer(lm.initial(model.params), model.params)
+    for phase in (0, 16):
+        masked = places[phase :: model.params.mask_every]
+        for s in range(0, len(masked), model.params.batch):
+            few.step(padded, masked[s : s + model.params.batch])
+    share = np.bincount(padded[places]) / len(places)
+    entropy = -(share[share > 0] * np.log(share[share > 0])).sum()
+    whole = lm.log_probabilities(model.weights, padded, places).mean()
+    assert whole > lm.log_probabilities(few.w, padded, places).mean() and -whole < entropy
