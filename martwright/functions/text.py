@@ -72,11 +72,11 @@ def join_list(c: Column | str, sep: str = "|") -> Column:
     return F.concat_ws(sep, column(c))
 
 
-def html_text(c: Column | str, rare: bool = False) -> Column:
+def html_text(c: Column | str, rare: bool = True) -> Column:
     """The text of an HTML fragment: tags dropped, each text piece stripped, entities decoded.
 
-    Without `rare` only ENTITIES are decoded, which stays in generated code; with it all named
-    (HTML 4) and numeric references are, at several times the cost.
+    All named (HTML 4) and numeric references are decoded; without `rare` only ENTITIES are, which
+    stays in generated code.
     """
     gap = WHITESPACE_CLASS + "*"
     text = strip(F.regexp_replace(column(c), rf"{gap}(?:<[^>]*>{gap})+", ""))

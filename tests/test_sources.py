@@ -126,6 +126,13 @@ def test_cards(spark):
     ]
 
 
+def test_cards_decode_all_references(spark):
+    html = "<li><h2>Caf&eacute; &ndash; d&#233;j&agrave; &#x27;vu&#x27; &hellip;</h2></li><li><h2>A &amp;eacute; B</h2></li>"
+    pages = spark.createDataFrame([("u", html)], "url string, html string")
+    cards = extract_cards(pages, "html", ["url"], r"<li>(.*?)</li>", {"name": r"<h2>(.*?)</h2>"}, {})
+    assert rows(cards, "card_no") == [("u", 1, "Café – déjà 'vu' …"), ("u", 2, "A &eacute; B")]
+
+
 def test_title_lines(spark):
     text = "Data Analyst One\nData Analyst Two\nData Engineer Three\nshort\nFinance Person Four"
     docs = spark.createDataFrame(
