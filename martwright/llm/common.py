@@ -115,3 +115,10 @@ def segment_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
         starts = (np.cumsum(counts) - counts)[full]
         out[full] = np.add.reduceat(values, starts, axis=0, dtype=out.dtype)
     return out
+
+
+def segment_totals(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """`segment_sums` of whole numbers, exact."""
+    ends = np.append(0, np.cumsum(values, dtype=np.int64))
+    stops = np.cumsum(counts)
+    return ends[stops] - ends[stops - counts]

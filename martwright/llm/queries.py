@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martwright.llm import (
     chat,
     decontaminate,
+    infill,
     language_id,
     lm_scoring,
     neighbours,
@@ -19,6 +20,7 @@ from martwright.llm import (
     simhash,
     url_filter,
     warc,
+    word_bpe,
 )
 from martwright.llm.common import bucket_of, table
 from martwright.session import fresh_path
@@ -235,3 +237,68 @@ FROM f GROUP BY conv_id
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lm_scoring.score(docs, lm_scoring.train(docs), keep=["doc_id"])
+
+
+@query("op11_fill_in_middle")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = infill.transform(docs, keep=["doc_id"])
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output"), 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
+
+
+ORACLE_SQL["op11_fill_in_middle"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS d,
+    regexp_extract_all(coalesce(text, ''),
+      '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+  FROM documents
+), h AS (
+  SELECT *, len(tokens) AS n, ('0x' || substr(d, 1, 8))::BIGINT AS h1,
+    ('0x' || substr(d, 9, 8))::BIGINT AS h2, ('0x' || substr(d, 17, 8))::BIGINT AS h3,
+    ('0x' || substr(d, 25, 8))::BIGINT AS h4
+  FROM t
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+      OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), p AS (
+  SELECT *, array_to_string(tokens[1:a], '') AS prefix,
+    array_to_string(tokens[a + 1:b], '') AS middle, array_to_string(tokens[b + 1:], '') AS suffix
+  FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix
+    || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+    AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+#: Vocabulary file of the encoding with word ends.
+WORD_PIECES = "word_bpe_49k.json"
+
+
+def word_vocabulary(name: str = WORD_PIECES) -> str:
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
+@query("op13_word_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    encoded = word_bpe.encode(docs, word_vocabulary(), keep=["doc_id"], packed=True)
+    return encoded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
