@@ -18,6 +18,7 @@ from martwright.llm import (
     quality,
     sentence_pieces,
     simhash,
+    turn_trie,
     url_filter,
     warc,
     word_bpe,
@@ -282,6 +283,78 @@ SELECT doc_id, n::BIGINT AS n, form,
 FROM p
 """
 
+
+@query("op12_prefix_trie")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    nodes, rows = turn_trie.build(
+        table(spark, sf_dir, "conversations"),
+        base=conv - conv % 5,
+        head=F.crc32(conv.cast("string")) % 9,
+        longest=8,
+    )
+    ends = turn_trie.member_digests(rows)
+    nothing = F.sha2(F.lit(""), 256)
+    return nodes.join(ends, turn_trie.KEY, "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", nothing).alias("ends_sha256"),
+    )
+
+
+ORACLE_SQL["op12_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(sha256(coalesce(role, '')) || sha256(coalesce(text, '')))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), b AS (
+  SELECT DISTINCT c, c::VARCHAR AS s FROM t
+), k AS (
+  SELECT c, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(8 * length(s)), lambda i:
+      ((ascii(substr(s, (i // 8 + 1)::INTEGER, 1)) >> (i % 8)::INTEGER) & 1)::BIGINT)),
+    lambda r, bit: CASE WHEN xor(r, bit) & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) AS r
+  FROM b
+), h AS (
+  SELECT c, c - c % 5 AS base, xor(r, 4294967295) % 9 AS h FROM k
+), heads AS (
+  SELECT h.c, t.i, t.role, t.text FROM h JOIN t ON t.c = h.base AND t.i <= h.h
+), m AS (
+  SELECT h.c, h.h, count(heads.i) AS m FROM h LEFT JOIN heads ON h.c = heads.c GROUP BY h.c, h.h
+), turns AS (
+  SELECT c, i AS d, role, text FROM heads
+  UNION ALL SELECT t.c, m.m + t.i - m.h, t.role, t.text FROM t JOIN m ON t.c = m.c AND t.i > m.h
+), q AS (
+  SELECT m.c, list([md5(role) || md5(text), strlen(text)::VARCHAR] ORDER BY d)
+    FILTER (d IS NOT NULL) AS seq
+  FROM m LEFT JOIN turns ON m.c = turns.c GROUP BY m.c
+), r AS (
+  SELECT c, coalesce(len(seq), 0) AS n, unnest(range(coalesce(len(seq), 0) + 1)) AS d,
+    coalesce(seq, []) AS seq FROM q
+), p AS (
+  SELECT c, n, d, seq[1:d] AS key, seq[1:d - 1] AS parent,
+    CASE WHEN d > 0 THEN seq[d][2]::BIGINT ELSE 0 END AS bytes FROM r
+), node AS (
+  SELECT d, key, any_value(CASE WHEN d > 0 THEN parent END) AS parent, min(c) AS conv_id,
+    count(*) AS n_convs, max(bytes) AS bytes,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+  FROM p GROUP BY d, key
+), kids AS (
+  SELECT d - 1 AS d, parent AS key, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2
+), full_node AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (d, key)
+), below AS (
+  SELECT x.d, x.key, sum(CASE WHEN y.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+    sum((y.n_convs - 1) * y.bytes) AS saved_tokens
+  FROM full_node y JOIN p ON p.c = y.conv_id AND p.d <= y.d
+  JOIN full_node x ON x.d = p.d AND x.key = p.key GROUP BY x.d, x.key
+)
+SELECT x.conv_id, x.d AS depth, up.conv_id AS parent_conv_id, x.n_convs, x.n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+FROM full_node x JOIN below USING (d, key)
+LEFT JOIN node up ON up.d = x.d - 1 AND up.key = x.parent
+"""
+
 #: Vocabulary file of the encoding with word ends.
 WORD_PIECES = "word_bpe_49k.json"
 
