@@ -5,6 +5,7 @@ from martwright.functions.dates import (
     time_literal,
     to_date_lenient,
 )
+from martwright.functions.html import decode_references, html_text
 from martwright.functions.ladders import (
     flag_label,
     in_set,
@@ -20,7 +21,6 @@ from martwright.functions.text import (
     extract_code,
     fill,
     has_text,
-    html_text,
     join_list,
     list_size,
     strip,
@@ -31,6 +31,7 @@ __all__ = [
     "WHITESPACE",
     "clip",
     "contains_flag",
+    "decode_references",
     "extract_code",
     "fill",
     "first_month",

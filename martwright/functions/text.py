@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,73 +69,3 @@ def list_size(c: Column | str, sep: str = "|") -> Column:
 def join_list(c: Column | str, sep: str = "|") -> Column:
     """An array of texts as one delimited text."""
     return F.concat_ws(sep, column(c))
-
-
-def html_text(c: Column | str, rare: bool = True) -> Column:
-    """The text of an HTML fragment: tags dropped, each text piece stripped, entities decoded.
-
-    All named (HTML 4) and numeric references are decoded; without `rare` only ENTITIES are, which
-    stays in generated code.
-    """
-    gap = WHITESPACE_CLASS + "*"
-    text = strip(F.regexp_replace(column(c), rf"{gap}(?:<[^>]*>{gap})+", ""))
-    if rare:
-        return decode_entities(text)
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
-def decode_entities(text: Column) -> Column:
-    """Named (HTML 4) and numeric character references decoded, each once; others stay.
-
-    The frequent ones are plain replacements, the ampersand last; the others are looked up, in
-    texts that have any.
-    """
-    for entity, char in ENTITIES[:-1]:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    # An array of one: the text is worked out once.
-    rare = F.transform(
-        F.array(text), lambda t: F.when(t.rlike(_RARE), _decode_rare(t)).otherwise(t)
-    )
-    amp, char = ENTITIES[-1]
-    return F.replace(F.get(rare, F.lit(0)), F.lit(amp), F.lit(char))
-
-
-_NAMES = {n: c for n, c in name2codepoint.items() if n != "amp"}
-_RARE = r"&(?!amp;)(?:#[0-9xX]|[A-Za-z]\w*;)"
-
-
-def _decode_rare(text: Column) -> Column:
-    names = F.create_map(*[F.lit(x) for n, c in _NAMES.items() for x in (n, chr(c))])
-
-    def decoded(piece: Column, i: Column) -> Column:
-        body = F.regexp_extract(piece, r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|\w+);", 1)
-        number = F.when(
-            body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 6), 16, 10)
-        ).otherwise(F.substring(body, 2, 7)).try_cast("int")
-        known = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        letter = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        letter = F.when(number == 38, F.lit("&amp;")).otherwise(letter)  # read with the others
-        found = F.when(
-            body.startswith("#"), F.when(known, letter)
-        ).otherwise(F.try_element_at(names, body))
-        rest = F.substring(piece, F.length(body) + 2, F.length(piece))
-        whole = F.coalesce(F.concat(found, rest), F.concat(F.lit("&"), piece))
-        return F.when(i == 0, piece).otherwise(whole)
-
-    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
-
-
-# Frequent entities, the ampersand last so that nothing is decoded twice.
-ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\xa0"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]

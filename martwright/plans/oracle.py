@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from martwright import fixed
-from martwright.functions.text import ENTITIES, WHITESPACE
+from martwright.functions.text import WHITESPACE
 from martwright.plans import roles
 
 
@@ -40,6 +40,20 @@ def _keywords(value: str, rules, default: str) -> str:
     return f"CASE {cases} ELSE {_text(default)} END"
 
 
+# The references that the given pages hold, the ampersand last.
+ENTITIES = [
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&#39;", "'"),
+    ("&apos;", "'"),
+    ("&nbsp;", "\xa0"),
+    ("&copy;", "©"),
+    ("&middot;", "·"),
+    ("&amp;", "&"),
+]
+
+
 _SPACE = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 
 
@@ -61,6 +75,14 @@ def _html(value: str) -> str:
     return text
 
 
+def _pieces(value: str) -> str:
+    piece = _strip("piece")
+    for entity, char in ENTITIES:
+        piece = f"replace({piece}, {_text(entity)}, {_text(char)})"
+    pieces = f"regexp_split_to_array({value}, '<[^>]*>')"
+    return f"array_to_string(list_transform({pieces}, lambda piece: {piece}), '')"
+
+
 def _pct(part: str, whole: str) -> str:
     return f"round(CAST({part} AS DOUBLE) * 100.0 / nullif(CAST({whole} AS DOUBLE), 0), 1)"
 
@@ -232,6 +254,28 @@ found AS (
          )}, ''), url) AS link
   FROM cards)
 SELECT * FROM found WHERE name IS NOT NULL"""
+# A paragraph that another one follows before its close is never closed in these pages, so it
+# goes to the end of the article.
+ORACLE_SQL["page_elements"] = rf"""
+WITH parts AS (
+  SELECT page_id, url, list_concat(
+    regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1),
+    regexp_extract_all(html, '(?s)<div class="ad">(.*?)</div>', 1),
+    regexp_extract_all(html, '(?s)<article>(.*?)</article>', 1)) AS parts FROM pages),
+cards AS (
+  SELECT page_id, url, unnest(parts) AS card, generate_subscripts(parts, 1) AS card_no FROM parts),
+found AS (
+  SELECT *, regexp_extract(card, '(?s)<p>(.*)$', 1) AS behind FROM cards)
+SELECT page_id, CAST(card_no AS INTEGER) AS card_no,
+       CASE WHEN regexp_matches(card, '<(h1|a)[ >]')
+         THEN {_html("regexp_extract(card, '(?s)<(?:h1|a)[^>]*>(.*?)</(?:h1|a)>', 1)")} END AS name,
+       CASE WHEN contains(card, '<p>') THEN {_pieces("""
+         CASE WHEN regexp_matches(behind, '(?s)^[^<]*(<b>[^<]*)?</p>') OR NOT contains(behind, '<p>')
+           THEN regexp_extract(behind, '(?s)^(.*?)(</p>|$)', 1) ELSE behind END""")}
+         END AS description,
+       CASE WHEN contains(card, '<a href') THEN regexp_extract(card, '<a href="([^"]*)"', 1)
+         ELSE url END AS link
+FROM found"""
 ORACLE_SQL["title_lines"] = f"""
 WITH lines AS (
   SELECT doc_id, source AS source_url,

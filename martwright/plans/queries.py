@@ -49,6 +49,7 @@ from martwright.plans import gold, roles, silver
 from martwright.session import fresh_path, written
 from martwright.sources import specs
 from martwright.sources.extract import extract_cards, mine_title_lines
+from martwright.sources.markup import extract_elements
 from martwright.sources.readers import query, read_optional, register_views, with_fallback
 from martwright.sources.writers import load_table, to_json_records
 
@@ -147,6 +148,19 @@ def page_links(spark, folder):
     )
 
 
+@register
+def page_elements(spark, folder):
+    """Navigation entries, adverts and articles of each page, found by tag and class."""
+    return extract_elements(
+        roles.pages(spark, folder),
+        "html",
+        ["page_id"],
+        "article, li, .ad",
+        {"name": "h1, a", "description": "p", "link": ("a[href]", "href")},
+        {"link": F.col("url")},
+    )
+
+
 @register
 def title_lines(spark, folder):
     return mine_title_lines(

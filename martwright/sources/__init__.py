@@ -1,4 +1,5 @@
 from martwright.sources.extract import extract_cards, mine_title_lines
+from martwright.sources.markup import extract_elements, select_elements
 from martwright.sources.readers import (
     list_tables,
     literal_table,
@@ -23,6 +24,7 @@ __all__ = [
     "append_rows",
     "export_all",
     "extract_cards",
+    "extract_elements",
     "list_tables",
     "literal_table",
     "load_table",
@@ -31,6 +33,7 @@ __all__ = [
     "read_csv",
     "read_optional",
     "register_views",
+    "select_elements",
     "to_json_records",
     "with_fallback",
     "write_csv",

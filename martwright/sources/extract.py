@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright import fixed
-from martwright.functions.text import column, html_text, strip
+from martwright.functions.html import html_text
+from martwright.functions.text import column, strip
 from martwright.operators.dedupe import dedupe_first
 
 

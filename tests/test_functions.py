@@ -12,7 +12,6 @@ from martwright.functions import (
     extract_code,
     flag_label,
     has_text,
-    html_text,
     keyword_ladder,
     list_size,
     month_parts,
@@ -129,10 +128,3 @@ def test_ladders(one):
     assert one(sets, "SQL", "GDPR", "Agile") == [
         "Language / Query", "Governance", "Analytics / Modeling",
     ]
-
-
-def test_html_text(one):
-    assert one(html_text("c"), " <b>Two </b> words &amp;amp; <i>x</i>") == ["Twowords &amp;x"]
-    odd = ["caf&eacute; &#233;&#xE9;&#x1F600; &Eacute;", "R&D & &nope; &#0; &#xD800; &#99999999; a&", "&lt;b&gt;&#38;lt;&#38;amp;&amp;eacute;", "x&quot;&apos;&nbsp;y"]
-    want = ["café éé😀 É", "R&D & &nope; &#0; &#xD800; &#99999999; a&", "<b>&lt;&amp;&eacute;", "x\"'\xa0y"]
-    assert one(html_text("c", rare=True), *odd) == want
