@@ -40,17 +40,17 @@ def _keywords(value: str, rules, default: str) -> str:
     return f"CASE {cases} ELSE {_text(default)} END"
 
 
-# The references that the given pages hold, the ampersand last.
+# Patterns of the references that the given pages hold, the ampersand last.
 ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
+    ("&#39;?", "'"),
     ("&apos;", "'"),
-    ("&nbsp;", "\xa0"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
+    ("&nbsp;?", "\xa0"),
+    ("&copy;?", "©"),
+    ("&middot;?", "·"),
+    ("&amp;?", "&"),
 ]
 
 
@@ -71,14 +71,14 @@ def _title(value: str) -> str:
 def _html(value: str) -> str:
     text = _strip(rf"regexp_replace({value}, '\s*(?:<[^>]*>\s*)+', '', 'g')")
     for entity, char in ENTITIES:
-        text = f"replace({text}, {_text(entity)}, {_text(char)})"
+        text = f"regexp_replace({text}, {_text(entity)}, {_text(char)}, 'g')"
     return text
 
 
 def _pieces(value: str) -> str:
     piece = _strip("piece")
     for entity, char in ENTITIES:
-        piece = f"replace({piece}, {_text(entity)}, {_text(char)})"
+        piece = f"regexp_replace({piece}, {_text(entity)}, {_text(char)}, 'g')"
     pieces = f"regexp_split_to_array({value}, '<[^>]*>')"
     return f"array_to_string(list_transform({pieces}, lambda piece: {piece}), '')"
 
@@ -222,6 +222,11 @@ FROM items GROUP BY category"""
 ORACLE_SQL["source_fallback"] = """
 SELECT c_custkey AS id, c_name AS name, 'few' AS "case" FROM customer
 UNION ALL SELECT s_suppkey, s_name, 'enough' FROM supplier"""
+# Blank texts and the words for a missing value are read as null.
+ORACLE_SQL["csv_split_scan"] = f"""
+SELECT doc_id, nullif(lang, '') AS lang, nullif(source, '') AS source, n_chars,
+       md5(CASE WHEN text NOT IN {_list(['', *fixed.NULL_TOKENS])} THEN text END) AS text_md5
+FROM documents"""
 ORACLE_SQL["page_cards"] = rf"""
 WITH cards AS (
   SELECT page_id, url, unnest(regexp_extract_all(html, '(?s)<article>(.*?)</article>', 1)) AS card,

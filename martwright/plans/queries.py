@@ -48,10 +48,11 @@ from martwright.operators.tagging import (
 from martwright.plans import gold, roles, silver
 from martwright.session import fresh_path, written
 from martwright.sources import specs
+from martwright.sources.csv_splits import read_csv_splits
 from martwright.sources.extract import extract_cards, mine_title_lines
 from martwright.sources.markup import extract_elements
 from martwright.sources.readers import query, read_optional, register_views, with_fallback
-from martwright.sources.writers import load_table, to_json_records
+from martwright.sources.writers import load_table, to_json_records, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,6 +76,16 @@ def optional_scan(spark, folder):
     return there.unionByName(absent).select("s_suppkey", "s_name", "s_nationkey")
 
 
+@register
+def csv_split_scan(spark, folder):
+    """The documents written as CSV, line breaks in their fields, and read back by splits."""
+    docs = roles.documents(spark, folder)
+    path = fresh_path(spark, "documents-csv")
+    write_csv(docs, path)
+    back = read_csv_splits(spark, path, docs.schema)
+    return back.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"))
+
+
 @register
 def sql_scan(spark, folder):
     """SQL over named views, made into one statement by Catalyst."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,14 @@ def build_session(app: str = "martwright", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if they can see it."""
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, or the warehouse if unset.
 

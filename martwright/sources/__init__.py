@@ -1,3 +1,4 @@
+from martwright.sources.csv_splits import csv_records, read_csv_splits
 from martwright.sources.extract import extract_cards, mine_title_lines
 from martwright.sources.markup import extract_elements, select_elements
 from martwright.sources.readers import (
@@ -22,6 +23,7 @@ __all__ = [
     "Col",
     "TableSpec",
     "append_rows",
+    "csv_records",
     "export_all",
     "extract_cards",
     "extract_elements",
@@ -31,6 +33,7 @@ __all__ = [
     "mine_title_lines",
     "query",
     "read_csv",
+    "read_csv_splits",
     "read_optional",
     "register_views",
     "select_elements",

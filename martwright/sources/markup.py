@@ -64,7 +64,7 @@ class Simple:
     attributes: tuple[str, ...] = ()
 
     def holds(self, token: Column, name: Column) -> Column:
-        held = name == self.tag if self.tag else name != ""
+        held = name == self.tag if self.tag else F.lit(True)
         for c in self.classes:
             pattern = rf"(?s)(?:^|\s){re.escape(c)}(?:\s|$)"
             held = held & _spelled(token, "class").rlike(pattern)
@@ -100,23 +100,28 @@ def _tokens(html: Column) -> Column:
 def _tags(tokens: Column, selectors: Sequence[str]) -> Column:
     """(at, name, close, empty, mask) of every tag; bit k of the mask: selector k holds."""
 
-    def parsed(token: Column, at: Column) -> Column:
-        name = F.lower(F.regexp_extract(token, _NAME, 1))
+    def named(token: Column, at: Column) -> Column:
+        name = F.when(token.startswith("<"), F.lower(F.regexp_extract(token, _NAME, 1)))
+        return F.struct(at.alias("at"), token.alias("token"), name.alias("name"))
+
+    def parsed(tag: Column) -> Column:
+        token, name = tag["token"], tag["name"]
         close = token.startswith("</")
         mask = F.lit(0)
         for k, selector in enumerate(selectors):
             mask = mask + F.when(_matches(selector, token, name), 1 << k).otherwise(0)
+        empty = name.isin(*VOID, *RAW) | (token.endswith("/>") & token.rlike(_CLOSED))
         return F.struct(
-            at.alias("at"),
+            tag["at"].alias("at"),
             name.alias("name"),
             close.alias("close"),
-            (
-                name.isin(*VOID, *RAW) | (token.endswith("/>") & token.rlike(_CLOSED))
-            ).alias("empty"),
-            F.when((name != "") & ~close, mask).otherwise(0).alias("mask"),
+            empty.alias("empty"),
+            F.when(~close, mask).otherwise(0).alias("mask"),
         )
 
-    return F.filter(F.transform(tokens, parsed), lambda t: t["name"] != "")
+    # In two steps: an expression in a lambda is worked out wherever it stands.
+    tags = F.filter(F.transform(tokens, named), lambda t: t["name"] != "")
+    return F.transform(tags, parsed)
 
 
 _OPEN = "array<struct<name:string,at:int,mask:int>>"
@@ -194,16 +199,24 @@ def select_elements(
 ) -> DataFrame:
     """One row per element that a selector finds, in page order: its number, tag, text, and the
     named attributes. Elements within elements are rows of their own. Narrow: no shuffle."""
-    rows = _parsed(pages, html, [selector]).select(
-        *keep, "_tokens", "_pieces", F.posexplode_outer("_elements").alias("_no", "_element")
-    )
-    token = F.get(F.col("_tokens"), F.col("_element.start"))
-    return rows.filter(F.col("_element").isNotNull()).select(
-        *keep,
-        (F.col("_no") + 1).alias("element_no"),
-        F.lower(F.regexp_extract(token, _NAME, 1)).alias("tag"),
-        _text(F.col("_pieces"), F.col("_element")).alias("text"),
-        *(attribute(token, a).alias(a) for a in attributes),
+    parsed = _parsed(pages, html, [selector])
+
+    def read(element: Column) -> Column:
+        token = F.get(F.col("_tokens"), element["start"])
+        return F.struct(
+            F.lower(F.regexp_extract(token, _NAME, 1)).alias("tag"),
+            _text(F.col("_pieces"), element).alias("text"),
+            *(attribute(token, a).alias(a) for a in attributes),
+        )
+
+    # Read within the page, so that the rows do not carry its tokens.
+    return _exploded(parsed, F.transform("_elements", read), keep, "element_no")
+
+
+def _exploded(parsed: DataFrame, found: Column, keep: Sequence[str], number: str) -> DataFrame:
+    rows = parsed.select(*keep, F.posexplode_outer(found).alias("_no", "_found"))
+    return rows.filter(F.col("_found").isNotNull()).select(
+        *keep, (F.col("_no") + 1).alias(number), "_found.*"
     )
 
 
@@ -225,32 +238,41 @@ def extract_elements(
     defaults = defaults or {}
     pairs = {n: (f, None) if isinstance(f, str) else f for n, f in fields.items()}
     parsed = _parsed(pages, html, [card, *(s for s, _ in pairs.values())])
+    kinds = [wanted for _, wanted in pairs.values()]
+
+    def first_each(card: Column) -> Column:
+        return F.struct(*(_first_within(card, k).alias(f"f{k}") for k in range(len(pairs))))
+
+    def read(firsts: Column) -> Column:
+        values = []
+        for k, wanted in enumerate(kinds):
+            element = firsts[f"f{k}"]
+            value = (
+                _text(F.col("_pieces"), element)
+                if wanted is None
+                else attribute(F.get(F.col("_tokens"), element["start"]), wanted)
+            )
+            values.append(F.when(element.isNotNull(), value).alias(f"_value_{k}"))
+        return F.struct(*values)
+
+    # In two steps, so that the first element of a field is looked for once.
     cards = F.filter("_elements", lambda e: e["mask"].bitwiseAND(F.lit(1)) != 0)
-    rows = parsed.select(
-        *parsed.columns, F.posexplode_outer(cards).alias("_no", "_card")
-    ).filter(F.col("_card").isNotNull())
-    names = {f"_field_{k}": k for k in range(len(pairs))}
-    rows = rows.withColumns({column: _first_within(k) for column, k in names.items()})
+    found = F.transform(F.transform(cards, first_each), read)
+    rows = _exploded(parsed, found, [c for c in pages.columns if c != html], "card_no")
     out, needed = [], F.lit(True)
-    for (name, (_, wanted)), column in zip(pairs.items(), names, strict=True):
-        element = F.col(column)
-        if wanted is None:
-            value = _text(F.col("_pieces"), element)
-        else:
-            value = attribute(F.get(F.col("_tokens"), element["start"]), wanted)
-        value = F.when(element.isNotNull(), value)
+    for k, name in enumerate(pairs):
+        value = F.col(f"_value_{k}")
         if name in required:
             needed = needed & (F.coalesce(value, F.lit("")) != "")
         default = defaults.get(name)
         if default is not None:
             value = F.coalesce(value, default if isinstance(default, Column) else F.lit(default))
         out.append(value.alias(name))
-    return rows.filter(needed).select(*keep, (F.col("_no") + 1).alias("card_no"), *out)
+    return rows.filter(needed).select(*keep, "card_no", *out)
 
 
-def _first_within(k: int) -> Column:
+def _first_within(card: Column, k: int) -> Column:
     """The first element of field k that starts within the card."""
-    card = F.col("_card")
     bit = F.lit(2 << k)
     return F.get(
         F.filter(

@@ -29,7 +29,7 @@ def read_csv(
     Fields are read as text and cast to the declared type, null where they do not
     fit; a header that differs from the schema is an error. The caller says whether
     fields may hold line breaks: `multiline` makes one task of each file, without it
-    Spark splits large files.
+    Spark splits large files. `csv_splits.read_csv_splits` reads large files that hold them.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     raw = (
@@ -40,6 +40,11 @@ def read_csv(
         .option("escape", '"')
         .csv(path)
     )
+    return as_declared(raw, schema, null_tokens)
+
+
+def as_declared(raw: DataFrame, schema: T.StructType, null_tokens: Sequence[str]) -> DataFrame:
+    """Text columns cast to the declared types; null for `null_tokens` and what does not fit."""
     tokens = list(null_tokens)
     return raw.select(
         *(
