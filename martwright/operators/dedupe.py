@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from martwright.session import enable_checkpoints, written
 
 
-def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key by `order`; null keys equal each other."""
     # Spark turns "first of the window" into a group limit that also runs before
     # the shuffle: each task sends at most one row per key, however hot the key.
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -20,7 +21,7 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
     `order` must tell the rows of a key apart for the result to be repeatable.
     """
-    return _one_per_key(df, keys, [F.asc(c) for c in order])
+    return one_per_key(df, keys, [F.asc(c) for c in order])
 
 
 def upsert_latest(
@@ -30,7 +31,7 @@ def upsert_latest(
     both = current.withColumn("_batch", F.lit(0)).unionByName(
         incoming.withColumn("_batch", F.lit(1))
     )
-    return _one_per_key(both, keys, [F.desc("_batch"), F.desc(order)]).drop("_batch")
+    return one_per_key(both, keys, [F.desc("_batch"), F.desc(order)]).drop("_batch")
 
 
 def duplicate_count(keys: list[str]) -> Column:

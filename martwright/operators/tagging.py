@@ -106,7 +106,7 @@ def skill_taxonomy() -> list[Term]:
 _FOLDING = "\u0130\u0131\u017f\u212a"
 
 
-def _words(text: Column) -> Column:
+def words_of(text: Column) -> Column:
     """The lower-case words of a text."""
     folds = F.lit(False)
     for letter in _FOLDING:
@@ -129,7 +129,7 @@ def tag_terms(df: DataFrame, text: str, taxonomy: Iterable[Term], out: str = "te
     taxonomy = list(taxonomy)
     wanted = sorted({w for term in taxonomy for words in term.alternatives() for w in words})
     vocabulary = F.array(*(F.lit(word) for word in wanted))
-    found = F.concat_ws(" ", F.array_intersect(_words(F.col(text)), vocabulary))
+    found = F.concat_ws(" ", F.array_intersect(words_of(F.col(text)), vocabulary))
     # The words found stand in the expression once, bound to the lambda's
     # argument: as a column of their own Spark may copy them into every test.
     once = F.array(F.concat(F.lit(" "), found, F.lit(" ")))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright import fixed
 from martwright.functions.ladders import flag_label
 from martwright.functions.dates import month_parts
 from martwright.functions.numbers import pct
+from martwright.sources.readers import read_optional
 
 
 def volume_trend(fact: DataFrame, keys: list[str], measures: dict[str, str]) -> DataFrame:
@@ -62,6 +64,54 @@ def merge_months(trend: DataFrame, new: DataFrame, keys: list[str], sums: list[s
     return trend.unionByName(new).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in sums))
 
 
+def merge_batch(
+    new: DataFrame, batch: str, path: str, keys: list[str], sums: list[str]
+) -> DataFrame:
+    """Add a batch of sums to the trend at `path` and return the trend.
+
+    The trend is partitioned by `year` and `month`, which are among the keys. Every row of a month
+    names the batches that are in it (`batches`), so the ledger is written with the sums, in the
+    same files: a month that has the batch already is left alone, whether the batch comes twice or
+    a load is repeated after a failure. Only the other months of the batch are read and rewritten.
+    """
+    spark, parts = new.sparkSession, ["year", "month"]
+    rest = [k for k in keys if k not in parts]
+    kinds = {f.name: f.dataType for f in new.select(*rest, *sums, *parts).schema}
+    schema = T.StructType([T.StructField(n, kinds[n]) for n in (*rest, *sums)])
+    schema = schema.add("batches", T.ArrayType(T.StringType()))
+    for name in parts:
+        schema = schema.add(name, kinds[name])
+    trend = read_optional(spark, path, schema)
+    # The months of a batch are calendar months: few, whatever its size.
+    months = [tuple(r) for r in new.select(*parts).distinct().collect()]
+    touched = trend.filter(_in_months(months))
+    ledger = touched.select(*parts, "batches").distinct().collect()
+    done = {(r["year"], r["month"]) for r in ledger if batch in r["batches"]}
+    todo = [m for m in months if m not in done]
+    if todo:
+        before = {(r["year"], r["month"]): r["batches"] for r in ledger}
+        batches = F.array(F.lit(batch))
+        for month in todo:
+            held = F.array(*map(F.lit, sorted({*before.get(month, []), batch})))
+            batches = F.when(_in_months([month]), held).otherwise(batches)
+        merged = merge_months(
+            touched.filter(_in_months(todo)).drop("batches"),
+            new.filter(_in_months(todo)).select(*rest, *sums, *parts), keys, sums,
+        )
+        rows = merged.withColumn("batches", batches).select(*schema.names)
+        write = rows.repartition(*parts).write.partitionBy(*parts).mode("overwrite")
+        write.option("partitionOverwriteMode", "dynamic").parquet(path)
+    return read_optional(spark, path, schema)
+
+
+def _in_months(months: list[tuple[int, int]]) -> Column:
+    found = F.lit(False)
+    for year in sorted({y for y, _ in months}):
+        held = [m for y, m in months if y == year]
+        found = found | ((F.col("year") == year) & F.col("month").isin(held))
+    return found
+
+
 def dense_series(
     fact: DataFrame, keys: list[str], when: str, measure: str, first: Column, last: Column
 ) -> DataFrame:

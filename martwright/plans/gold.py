@@ -12,11 +12,20 @@ from martwright import fixed
 from martwright.functions import flag_label, join_list, threshold_ladder
 from martwright.operators import kpis, marts, volumes
 from martwright.operators.dedupe import with_rank
-from martwright.operators.quality import append_dq_log, dq_checks, dq_summary, validate
+from martwright.operators.quality import (
+    dq_checks,
+    dq_summary,
+    log_run,
+    read_log,
+    run_checks,
+    validate,
+)
+from martwright.operators.shares import top_k
 from martwright.operators.tagging import Term, tag_terms, term_frequency, term_pairs
 from martwright.sources import specs
 from martwright.sources.readers import register_views
-from martwright.sources.writers import export_all, load_table, write_csv
+from martwright.sources.versions import KEEP, Load, live_tables, refresh
+from martwright.sources.writers import conform, export_all, last_rows, write_csv
 
 ITEM_MART = ("category", "is_flagship", "is_spirits")
 ITEM = ("category", "is_flagship", "is_spirits", "item_name", "item_id")
@@ -69,6 +78,8 @@ def category_types(mart: DataFrame) -> DataFrame:
     )
 
 
+TOP_TERMS = 30  # fixed value: terms of the term mart
+
 VIEWS = [
     "items_by_category",
     "category_names",
@@ -86,7 +97,7 @@ VIEWS = [
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The loaded tables under one folder."""
+    """The loaded tables under one folder, replaced together by `build`; see `sources.versions`."""
 
     spark: SparkSession
     root: str
@@ -95,10 +106,16 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{name}"
 
     def table(self, spec: specs.TableSpec) -> DataFrame:
-        return self.spark.read.schema(spec.schema()).parquet(self.path(spec.name))
+        """The live rows of a table; the log has no versions."""
+        if spec.name == specs.DQ_LOG.name:
+            return read_log(self.spark, self.path(spec.name)).select(*spec.schema().names)
+        folder = live_tables(self.spark, self.root)[spec.name]
+        return self.spark.read.schema(spec.schema()).parquet(folder)
 
     def load(self, spec: specs.TableSpec, df: DataFrame, order: str | None = None) -> DataFrame:
-        return load_table(df, spec, self.path(spec.name), order)
+        """Replace one table; the old rows stay live until the new ones are written."""
+        refresh(self.spark, self.root, {spec.name: conform(last_rows(df, spec, order), spec)})
+        return self.table(spec)
 
     def views(self) -> dict:
         """View name -> function that builds it from the loaded tables."""
@@ -130,11 +147,19 @@ class Warehouse:
             "market_share": lambda: table(specs.FACT_SHARES),
         }
 
-    def check(self, spec: specs.TableSpec, required: list[str], unique: list[str], at) -> DataFrame:
-        """Quality checks of a loaded table, added to the log; returns the summary."""
-        report = dq_checks(self.table(spec), spec.name, required, unique, at)
-        append_dq_log(dq_summary(report), self.path(specs.DQ_LOG.name))
-        return self.table(specs.DQ_LOG)
+    def check(
+        self, spec: specs.TableSpec, required: list[str], unique: list[str], at, run: str = ""
+    ) -> DataFrame:
+        """Quality checks of a live table, put into the log; returns their row of the log.
+
+        `run` names the run, the time `at` if it is not given; a run that is repeated replaces its
+        rows.
+        """
+        return self._log(self.table(spec), spec, required, unique, at, run)
+
+    def _log(self, rows: DataFrame, spec, required, unique, at, run: str) -> DataFrame:
+        report = dq_checks(rows, spec.name, required, unique, at)
+        return log_run(dq_summary(report), self.path(specs.DQ_LOG.name), run or at.isoformat())
 
     def build(
         self,
@@ -142,22 +167,34 @@ class Warehouse:
         at: dt.datetime,
         latest: dict[str, str] | None = None,
         export_to: str | None = None,
+        run: str = "",
+        keep: int = KEEP,
     ) -> dict:
         """Load and check all tables, make the views, run the read-outs, export the views.
 
+        All tables become live at once, when every one is written and checked; a load that fails
+        before leaves the tables as they were. Folders of loads before the last `keep` go.
         Rows that share a declared unique key are reduced to the last by the column that
         `latest` names for the table; a table with a key and without such a column is refused.
         Every table's checks are added to the log. A view or read-out that fails is reported
         under its name and stops nothing.
         """
         latest = latest or {}
-        for spec, df in tables.items():
+        for spec in tables:
             if spec.unique and spec.name not in latest:
                 raise ValueError(f"{spec.name} has a unique key: name the column of the last row")
-            self.load(spec, df, latest.get(spec.name))
-            required = [c.name for c in spec.columns if c.not_null]
-            keys = list(spec.unique[0]) if spec.unique else []
-            self.check(spec, required, keys, at)
+        load = Load(self.spark, self.root)
+        try:
+            for spec, df in tables.items():
+                rows = conform(last_rows(df, spec, latest.get(spec.name)), spec)
+                staged = load.stage(spec.name, rows)
+                required = [c.name for c in spec.columns if c.not_null]
+                keys = list(spec.unique[0]) if spec.unique else []
+                self._log(staged, spec, required, keys, at, run)
+        except Exception:
+            load.abandon()
+            raise
+        load.publish(keep)
         loaded = {spec.name for spec in tables}
         for spec in tables:
             self.table(spec).createOrReplaceTempView(spec.name)
@@ -176,6 +213,7 @@ class Warehouse:
         return {
             "failed_views": failed,
             "checks": validate(self.spark, checks),
+            "read_outs": run_checks(self.spark, checks, self.path("read_outs")),
             "exported": export_all(self.spark, made, export_to) if export_to else {},
         }
 
@@ -183,17 +221,14 @@ class Warehouse:
 def gold_marts(
     items: DataFrame, sites: DataFrame, posts: DataFrame, terms: DataFrame, as_of: dt.date
 ) -> dict[str, DataFrame]:
-    """The marts of the cleaned tables, by name; `write_frames` stores them."""
+    """The four marts of the cleaned tables, by name; `write_frames` stores them."""
     return {
-        "category_mart": marts.category_mart_ext(items, *ITEM_MART),
-        "category_flagged_names": marts.category_flagged_names(
-            items, "category", "is_flagship", "item_name", "item_id"
-        ),
-        "site_mart": marts.region_type_mart_ext(sites, *SITE, "year_established"),
-        "department_mart": marts.department_mart_ext(
-            posts, "department", "is_remote", "is_hybrid", "term_count"
+        "category_mart_first": marts.category_mart_first(items, *ITEM),
+        "region_type_mart_basic": marts.region_type_mart_basic(
+            sites, "region", "site_type", "site_name", "headcount", "country"
         ),
-        "kpis": kpis.kpi_exec(items, sites, posts, terms, as_of=as_of),
+        "top_terms": top_k(terms, "frequency", TOP_TERMS, "term"),
+        "kpi_exec": kpis.kpi_exec(items, sites, posts, terms, as_of=as_of),
     }
 
 

@@ -746,3 +746,82 @@ SELECT post_id, title, department, location, '{fixed.DEFAULT_EMPLOYMENT_TYPE}' A
        CAST(term_count AS INTEGER) AS term_count, seniority, {_AS_OF} AS processed_at
 FROM posts QUALIFY row_number() OVER (PARTITION BY title, department ORDER BY post_id) = 1"""
 ORACLE_SQL["clean_terms"] = _with(TERMS) + f"SELECT *, {_AS_OF} AS processed_at FROM terms"
+
+
+ORACLE_SQL["table_versions"] = _with(ITEMS) + """
+SELECT item_id, item_name, category, CAST(2 AS BIGINT) AS version FROM items WHERE is_flagship"""
+ORACLE_SQL["upsert_buckets"] = ORACLE_SQL["upsert_latest"]
+ORACLE_SQL["load_quarantine"] = _with(ITEMS) + """,
+bad AS (SELECT item_id, item_name, nullif(category, 'Uncategorized') AS category,
+               length(item_name) % 3 AS is_flagship FROM items),
+alone AS (SELECT *, list_filter([
+    CASE WHEN category IS NULL THEN 'NOT NULL category' END,
+    CASE WHEN is_flagship NOT IN (0, 1) THEN 'CHECK is_flagship IN (0,1)' END],
+    lambda r: r IS NOT NULL) AS rules FROM bad),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY len(rules) = 0, item_name, category
+                                        ORDER BY item_id) AS nth FROM alone)
+SELECT item_id, item_name, array_to_string(CASE WHEN len(rules) = 0 AND nth > 1
+         THEN ['UNIQUE item_name, category'] ELSE rules END, '; ') AS broken_rules
+FROM ranked""".replace("\n,\nbad", ",\nbad")
+ORACLE_SQL["term_index"] = _with(POSTS) + "SELECT post_id, unnest(terms) AS term FROM posts"
+ORACLE_SQL["volume_ledger"] = ORACLE_SQL["volume_merge"]
+ORACLE_SQL["read_outs"] = """
+WITH counted AS (
+  SELECT c_mktsegment AS segment, count(*) AS n FROM customer GROUP BY 1 ORDER BY n DESC, 1 LIMIT 3)
+SELECT 'sites' AS label, CAST(0 AS BIGINT) AS nth, '{"n":' || count(*) || '}' AS record,
+       false AS failed FROM customer
+UNION ALL SELECT 'segments', row_number() OVER (ORDER BY n DESC, segment) - 1,
+       '{"segment":"' || segment || '","n":' || n || '}', false FROM counted
+UNION ALL SELECT 'no such table', NULL, NULL, true
+UNION ALL SELECT 'fails when run', NULL, NULL, true
+UNION ALL SELECT 'none', NULL, NULL, false"""
+
+
+def _job(table: str, rows: str, keys: str, blanks: dict[str, str], more: tuple[str, str] | None) -> str:
+    """The row of the log of one cleaning job: `rows` are the normalised ones, `n` the first of a key."""
+    issues = [
+        f"CASE WHEN {count} > 0 THEN 'Column ''{name}'' has ' || {count} || ' nulls/blanks (' || "
+        f"round({count} * 100.0 / total, 1) || '%)' END"
+        for name, count in ((n, f"blank_{n}") for n in blanks)
+    ]
+    if keys:
+        issues.append(
+            f"CASE WHEN came > total THEN 'Found ' || (came - total) || ' duplicate rows on ' || {_text(keys)} END"
+        )
+    if more:
+        issues.append(f"CASE WHEN more > 0 THEN {_text(more[0] + ': ')} || more || ' rows' END")
+    counts = ", ".join(f"count(*) FILTER (nth = 1 AND ({c})) AS blank_{n}" for n, c in blanks.items())
+    return f"""
+SELECT 'first run' AS run, '{table}' AS table_name, {_AS_OF} AS checked_at, total AS total_rows,
+       {len(issues) + 2} - len(issues) AS checks_passed, len(issues) AS checks_failed,
+       array_to_string(issues, '; ') AS issues
+FROM (SELECT total, list_filter([{", ".join(issues)}], lambda i: i IS NOT NULL) AS issues
+      FROM (SELECT count(*) AS came, count(*) FILTER (nth = 1) AS total, {counts},
+                   count(*) FILTER ({more[1] if more else "false"}) AS more FROM ({rows})))"""
+
+
+ORACLE_SQL["clean_jobs"] = _with(TERMS, ITEMS, RAW_SITES, REGIONS) + " UNION ALL ".join([
+    _job(
+        "dim_item",
+        "SELECT *, row_number() OVER (PARTITION BY item_name ORDER BY item_id) AS nth FROM items",
+        "['item_name']",
+        {"item_id": "item_id IS NULL", "item_name": "item_name = ''", "category": "category = ''"},
+        None,
+    ),
+    _job(
+        "dim_site",
+        "SELECT *, row_number() OVER (PARTITION BY site_name ORDER BY site_id) AS nth FROM raw_sites",
+        "['site_name']",
+        {n: f"{n} IS NULL" for n in ("site_id", "site_name", "country")} | {"region": "false"},
+        ("no coordinates", "latitude IS NULL OR longitude IS NULL"),
+    ),
+    _job(
+        "fact_posts",
+        "SELECT *, row_number() OVER (PARTITION BY title, department ORDER BY post_id) AS nth FROM raw_posts",
+        "['title', 'department']",
+        {"post_id": "post_id IS NULL", "title": "coalesce(title, '') = ''",
+         "department": "coalesce(department, '') = ''"},
+        ("no date", "TRY_CAST(posted_date AS DATE) IS NULL"),
+    ),
+    _job("fact_terms", "SELECT *, 1 AS nth FROM terms", "", {"term": "term = ''", "frequency": "frequency IS NULL"}, None),
+])

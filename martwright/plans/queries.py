@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ from martwright.operators.dedupe import (
 )
 from martwright.operators.lookup import map_lookup, map_value
 from martwright.operators.shares import flag_pct, share_of_total, top_k
+from martwright.operators.phrases import phrase_hits, taxonomy_index
 from martwright.operators.tagging import (
     count_with_all,
     skill_taxonomy,
@@ -45,13 +48,15 @@ from martwright.operators.tagging import (
     term_frequency,
     term_pairs,
 )
-from martwright.plans import gold, roles, silver
+from martwright.plans import cleaning, gold, roles, silver
 from martwright.session import fresh_path, written
 from martwright.sources import specs
+from martwright.sources.buckets import read_buckets, upsert_buckets
 from martwright.sources.csv_splits import read_csv_splits
 from martwright.sources.extract import extract_cards, mine_title_lines
 from martwright.sources.markup import extract_elements
 from martwright.sources.readers import query, read_optional, register_views, with_fallback
+from martwright.sources.versions import live_version, read_live, refresh
 from martwright.sources.writers import load_table, to_json_records, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,6 +195,55 @@ def load_refresh(spark, folder):
     )
 
 
+@register
+def table_versions(spark, folder):
+    """Items loaded, replaced by the flagship ones, then by a load that fails half way: the live
+    rows with the number of their load."""
+    root = fresh_path(spark, "versions")
+    names = ["item_id", "item_name", "category"]
+    rows = roles.items(spark, folder)
+    refresh(spark, root, {"items": rows.select(names)})
+    refresh(spark, root, {"items": rows.filter("is_flagship").select(names)})
+    last = rows.agg(F.max("item_id")).scalar()
+    stop = F.raise_error(F.lit("a row that cannot be made")).cast("string")
+    broken = rows.withColumn("category", F.when(F.col("item_id") == last, stop).otherwise("-"))
+    try:
+        refresh(spark, root, {"items": broken.select(names)})
+    except (PySparkException, Py4JJavaError) as error:
+        if "cannot be made" not in str(error):
+            raise
+    live = read_live(spark, root, "items", rows.select(names).schema)
+    return live.withColumn("version", F.lit(live_version(spark, root)).cast("bigint"))
+
+
+@register
+def q_upsert_buckets(spark, folder):
+    """Latest order per customer, in a table of buckets: open orders replace finished ones."""
+    orders = roles.table(spark, folder, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice"
+    )
+    path = fresh_path(spark, "latest-orders")
+    upsert_buckets(orders.filter("o_orderstatus = 'F'"), path, ["o_custkey"], "o_orderkey")
+    upsert_buckets(orders.filter("o_orderstatus <> 'F'"), path, ["o_custkey"], "o_orderkey")
+    return read_buckets(spark, path, orders.schema).select(*orders.columns)
+
+
+@register
+def load_quarantine(spark, folder):
+    """Items split by the constraints of their table, the broken ones with the rules they break."""
+    rows = _breaking_items(spark, folder)
+    split = quality.load_with_quarantine(
+        rows, _items_spec(), [F.col("item_id")],
+        fresh_path(spark, "items-table"), fresh_path(spark, "items-quarantine"),
+    )
+    none = F.lit("")
+    return split["table"].select("item_id", "item_name", none.alias("broken_rules")).unionByName(
+        split["quarantine"].select(
+            "item_id", "item_name", F.array_join("broken_rules", "; ").alias("broken_rules")
+        )
+    )
+
+
 @register
 def q_upsert_latest(spark, folder):
     """Latest order per customer: any other order replaces finished ones."""
@@ -207,7 +261,12 @@ def q_upsert_latest(spark, folder):
 @register
 def constraint_check(spark, folder):
     """Constraints of the items table, counted on rows that break some of them."""
-    rows = (
+    return quality.constraint_check(_breaking_items(spark, folder), _items_spec())
+
+
+def _breaking_items(spark, folder):
+    """Items of which some break a constraint of their table."""
+    return (
         roles.items(spark, folder)
         .withColumn("item_id", F.col("item_id").try_cast("bigint"))
         .withColumn("category", F.nullif("category", F.lit("Uncategorized")))
@@ -215,12 +274,14 @@ def constraint_check(spark, folder):
         .withColumn("is_spirits", F.col("is_spirits").cast("int"))
         .withColumn("has_description", F.lit(1))
     )
-    spec = specs.TableSpec(
+
+
+def _items_spec():
+    return specs.TableSpec(
         specs.DIM_ITEM.name,
         specs.DIM_ITEM.columns,
         unique=(("item_id",), ("item_name", "category")),
     )
-    return quality.constraint_check(rows, spec)
 
 
 @register
@@ -401,6 +462,14 @@ def term_tags(spark, folder):
     )
 
 
+@register
+def term_index(spark, folder):
+    """The terms of each text, found by joining its word n-grams with a table of phrases."""
+    docs = roles.documents(spark, folder).select("doc_id", "text")
+    hits = phrase_hits(docs, "doc_id", "text", taxonomy_index(spark, roles.TAXONOMY))
+    return hits.select(F.col("doc_id").alias("post_id"), "term")
+
+
 @register
 def q_keyword_ladder(spark, folder):
     return roles.raw_posts(spark, folder).select(
@@ -764,6 +833,20 @@ def volume_merge(spark, folder):
     return volumes.merge_months(old, new, keys, list(gold.TREND_MEASURES.values()))
 
 
+@register
+def volume_ledger(spark, folder):
+    """A trend kept by batches of months, one of which is delivered twice."""
+    keys = ["item", "year", "month", "price_tier"]
+    sums = list(gold.TREND_MEASURES.values())
+    facts = roles.volumes(spark, folder)
+    path = fresh_path(spark, "trend")
+    until = F.col("l_shipdate") < F.lit(roles.MERGE_FROM)
+    for batch, rows in (("early", until), ("late", ~until), ("late", ~until)):
+        new = volumes.volume_trend(facts.filter(rows), keys, gold.TREND_MEASURES)
+        trend = volumes.merge_batch(new, batch, path, keys, sums)
+    return trend.select(*keys, *sums)
+
+
 @register
 def flag_summary(spark, folder):
     facts = roles.state_volumes(spark, folder)
@@ -856,6 +939,25 @@ def dq_summary(spark, folder):
     return summary.withColumn("issues", F.to_json("issues"))
 
 
+#: Checks of which two cannot give a result.
+READ_OUTS = {
+    "sites": "SELECT count(*) AS n FROM mw_customer",
+    "segments": "SELECT c_mktsegment AS segment, count(*) AS n FROM mw_customer "
+    "GROUP BY c_mktsegment ORDER BY n DESC, segment LIMIT 3",
+    "no such table": "SELECT count(*) AS n FROM mw_customer_of_next_year",
+    "fails when run": "SELECT sum(CAST(c_name AS INT)) AS n FROM mw_customer",
+    "none": "SELECT c_custkey FROM mw_customer WHERE c_custkey < 0",
+}
+
+
+@register
+def read_outs(spark, folder):
+    """Named checks run together; what fails is a row of the report."""
+    roles.table(spark, folder, "customer").createOrReplaceTempView("mw_customer")
+    report = quality.run_checks(spark, READ_OUTS, fresh_path(spark, "read-outs"))
+    return report.select("label", "nth", "record", F.col("error").isNotNull().alias("failed"))
+
+
 @register
 def table_counts(spark, folder):
     names = ["part", "customer", "documents", "lineitem", "orders", "pages"]
@@ -901,3 +1003,25 @@ def clean_terms(spark, folder):
         frequency, roles.AS_OF, roles.WORD_TIERS, fixed.TIER_4, roles.WORDS,
         roles.DEFAULT_WORD_CATEGORY,
     )
+
+
+@register
+def clean_jobs(spark, folder):
+    """The four cleaning jobs with their checks: their rows of the log."""
+    log = fresh_path(spark, "cleaning-log")
+    none = F.lit(None).cast("string")
+    raw = {
+        cleaning.item_job(
+            roles.SOURCE, categories=roles.ITEM_CATEGORIES, flagged=roles.CORE_CATEGORIES
+        ): roles.raw_items(spark, folder),
+        cleaning.site_job(
+            regions=roles.regions(spark, folder), types=roles.SITE_TYPES
+        ): roles.raw_sites(spark, folder),
+        cleaning.post_job(
+            roles.AS_OF, ladder=roles.LEVEL_RULES
+        ): roles.raw_posts(spark, folder).withColumn("terms", none),
+        cleaning.term_job(): roles.terms(spark, folder).select("term", "frequency", "pct_of_posts"),
+    }
+    for job, rows in raw.items():
+        cleaning.run_job(rows, job, fresh_path(spark, job.name), roles.AS_OF, log, "first run")
+    return quality.read_log(spark, log).withColumn("issues", F.array_join("issues", "; "))

@@ -40,16 +40,14 @@ def with_audit(df: DataFrame, as_of: dt.datetime, source: str | None = None) ->
     return df.withColumn("data_source", F.lit(source)) if source is not None else df
 
 
-def clean_items(
+def normalize_items(
     raw: DataFrame,
-    as_of: dt.datetime,
-    source: str,
     categories: Mapping[str, str] = fixed.CATEGORY_NAMES,
     flagged: Sequence[str] = tuple(fixed.SPIRITS_CATEGORIES),
     default_category: str = fixed.DEFAULT_CATEGORY,
 ) -> DataFrame:
-    """Items: title-cased name, canonical category, category flag, short text; first per name."""
-    cleaned = (
+    """Items: title-cased name, canonical category, category flag, short text."""
+    return (
         raw.withColumn("item_name", title_case(strip("item_name")))
         .withColumn("category_raw", strip("category"))
         .withColumn(
@@ -59,7 +57,12 @@ def clean_items(
         .withColumn("description_short", clip("description", fixed.SHORT_TEXT_CHARS))
         .withColumn("has_description", has_text("description", fixed.MIN_TEXT_CHARS))
     )
-    return with_audit(dedupe_first(cleaned, ["item_name"], ["item_id"]), as_of, source)
+
+
+def clean_items(raw: DataFrame, as_of: dt.datetime, source: str, *args, **kwargs) -> DataFrame:
+    """`normalize_items`, then the first row per name."""
+    first = dedupe_first(normalize_items(raw, *args, **kwargs), ["item_name"], ["item_id"])
+    return with_audit(first, as_of, source)
 
 
 def normalize_sites(
@@ -107,7 +110,7 @@ def invalid_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.filter(lacking)
 
 
-def clean_posts(
+def normalize_posts(
     raw: DataFrame,
     as_of: dt.datetime,
     ladder: Sequence[tuple[str, Sequence[str]]] = tuple(fixed.SENIORITY_RULES),
@@ -116,20 +119,10 @@ def clean_posts(
     hybrid_word: str = "hybrid",
     state_pattern: str = fixed.STATE_PATTERN,
 ) -> DataFrame:
-    """Posts: blanks filled, lenient date, state and work mode from the location,
-    size of the term list, seniority from the title; first per title and department.
-
-    `terms` is the delimited list the tagging step leaves. The posts to keep are found on their
-    keys alone and met first: Spark moves that below the tagging, so only they are tagged.
-    """
-    named = raw.select(
-        F.col("post_id"),
-        strip("title").alias("title"),
-        fill(strip("department"), fixed.DEFAULT_DEPARTMENT).alias("department"),
-    )
-    first = dedupe_first(named, ["title", "department"], ["post_id"]).select("post_id")
-    cleaned = (
-        raw.join(first, "post_id", "left_semi").withColumns(
+    """Posts: blanks filled, lenient date, state and work mode from the location, size of the term
+    list, seniority from the title. `terms` is the delimited list the tagging step leaves."""
+    return (
+        raw.withColumns(
             {
                 "title": strip("title"),
                 "department": fill(strip("department"), fixed.DEFAULT_DEPARTMENT),
@@ -149,19 +142,33 @@ def clean_posts(
             }
         )
     )
+
+
+def clean_posts(raw: DataFrame, as_of: dt.datetime, *args, **kwargs) -> DataFrame:
+    """`normalize_posts`, then the first row per title and department.
+
+    The posts to keep are found on their keys alone and met first: Spark moves that below the
+    tagging, so only they are tagged.
+    """
+    named = raw.select(
+        F.col("post_id"),
+        strip("title").alias("title"),
+        fill(strip("department"), fixed.DEFAULT_DEPARTMENT).alias("department"),
+    )
+    first = dedupe_first(named, ["title", "department"], ["post_id"]).select("post_id")
+    cleaned = normalize_posts(raw.join(first, "post_id", "left_semi"), as_of, *args, **kwargs)
     return with_audit(dedupe_first(cleaned, ["title", "department"], ["post_id"]), as_of)
 
 
-def clean_terms(
+def normalize_terms(
     raw: DataFrame,
-    as_of: dt.datetime,
     tiers: Sequence[tuple[float, str]] = tuple(fixed.DEMAND_TIERS),
     last_tier: str = fixed.TIER_4,
     categories: Mapping[str, Sequence[str]] = fixed.SKILL_CATEGORIES,
     default_category: str = fixed.DEFAULT_SKILL_CATEGORY,
 ) -> DataFrame:
     """Terms: stripped name, numbers out of text (0 where they are none), tier and category."""
-    cleaned = (
+    return (
         raw.withColumns(
             {
                 "term": strip("term"),
@@ -172,4 +179,8 @@ def clean_terms(
         .withColumn("demand_tier", threshold_ladder("pct_of_posts", tiers, last_tier))
         .withColumn("term_category", set_ladder("term", categories, default_category))
     )
-    return with_audit(cleaned, as_of)
+
+
+def clean_terms(raw: DataFrame, as_of: dt.datetime, *args, **kwargs) -> DataFrame:
+    """`normalize_terms` with the run time."""
+    return with_audit(normalize_terms(raw, *args, **kwargs), as_of)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.operators.dedupe import _one_per_key
+from martwright.operators.dedupe import one_per_key
 from martwright.sources.specs import TableSpec
 
 
@@ -26,18 +26,22 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def load_table(df: DataFrame, spec: TableSpec, path: str, order: str | None = None) -> DataFrame:
-    """Full refresh: replace the table at `path` with these rows and return it.
+    """Full refresh in place: replace the table at `path` with these rows and return it.
 
-    With `order`, rows that share a declared unique key are reduced to the one
+    The old rows go before the new are there; `versions` keeps them until a load has succeeded. With `order`, rows that share a declared unique key are reduced to the one
     with the highest `order` (the last one wins); without it all rows are kept.
     """
-    if order:
-        for keys in spec.unique:
-            df = _one_per_key(df, list(keys), [F.desc(order)])
-    conform(df, spec).write.mode("overwrite").parquet(path)
+    conform(last_rows(df, spec, order), spec).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(spec.schema()).parquet(path)
 
 
+def last_rows(df: DataFrame, spec: TableSpec, order: str | None) -> DataFrame:
+    """The row of the highest `order` of each declared unique key; all rows without `order`."""
+    for keys in spec.unique if order else ():
+        df = one_per_key(df, list(keys), [F.desc(order)])
+    return df
+
+
 def append_rows(df: DataFrame, spec: TableSpec, path: str) -> None:
     """Add rows to the table at `path`."""
     conform(df, spec).write.mode("append").parquet(path)

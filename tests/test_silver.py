@@ -125,5 +125,11 @@ def test_whole_job(spark, tmp_path):
     gold.write_frames(marts | reports, str(tmp_path / "reports"))
     written = spark.read.csv(str(tmp_path / "reports/category_distribution"), header=True)
     assert written.columns == ["Category", "Item Count", "% of Items"] and written.count() == 2
-    log = house.check(specs.DIM_ITEM, ["item_name", "category"], ["item_name"], AT)
-    assert log.count() == 7
+    assert rows(result["read_outs"].filter("label = 'dim_item row count'").select("record", "error")) == [
+        ('{"count(1)":2}', None)
+    ]
+    log = house.check(specs.DIM_ITEM, ["item_name", "category"], ["item_name"], AT, "another run")
+    assert rows(log.select("run", "table_name", "total_rows")) == [("another run", "dim_item", 2)]
+    for _ in range(2):
+        house.check(specs.DIM_ITEM, ["item_name", "category"], ["item_name"], AT, "another run")
+    assert house.table(specs.DQ_LOG).count() == 7
