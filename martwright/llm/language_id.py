@@ -175,6 +175,11 @@ def viterbi(scores: np.ndarray, per_doc: np.ndarray, penalty: float) -> np.ndarr
 
 def label(texts: list[str], model: LangModel):
     """Language, score and spans (first character, end, language) of each text."""
+    return label_known(texts, model)[:3]
+
+
+def label_known(texts: list[str], model: LangModel):
+    """`label`, and the share of letters that lie in scripts of any learned language."""
     languages, count = model.languages, len(model.languages)
     found = [
         find_words(texts[a:b], model.params.buckets)
@@ -185,7 +190,8 @@ def label(texts: list[str], model: LangModel):
     starts = np.concatenate([w.starts for w in found] or [np.zeros(0, np.int64)])
     doc = np.repeat(np.arange(len(texts)), per_doc)
     if not count:
-        return [UNDECIDED] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
+        none = np.zeros(len(texts))
+        return [UNDECIDED] * len(texts), none, [[] for _ in texts], none
     scores = np.concatenate([word_scores(w, model) for w in found]) if found else np.zeros((0, count))
     known = (
         np.concatenate([model.allowed[w.script].any(axis=1) for w in found])
@@ -196,6 +202,7 @@ def label(texts: list[str], model: LangModel):
         doc * count + path, np.where(known, letters, 0), minlength=len(texts) * count
     ).reshape(-1, count)
     total = np.bincount(doc, letters, minlength=len(texts))
+    learned = share.sum(axis=1) / np.maximum(total, 1)
     share[share.sum(axis=1) == 0] = model.prior * 1e-6
     chosen = share.argmax(axis=1)
     score = share[np.arange(len(texts)), chosen] / np.maximum(total, 1)
@@ -209,7 +216,8 @@ def label(texts: list[str], model: LangModel):
         spans[d].append({"start": int(a), "stop": int(b), "lang": languages[lang]})
     lettered = np.concatenate([w.lettered for w in found] or [np.zeros(0, bool)])
     names = [languages[c] if n else UNDECIDED for c, n in zip(chosen, lettered, strict=True)]
-    return names, np.where(lettered, score, 0.0), [s if n else [] for s, n in zip(spans, lettered, strict=True)]
+    spans = [s if n else [] for s, n in zip(spans, lettered, strict=True)]
+    return names, np.where(lettered, score, 0.0), spans, np.where(lettered, learned, 0.0)
 
 
 # -- Spark ---------------------------------------------------------------------------------
@@ -294,31 +302,34 @@ def identify(
     text: str = "text",
     keep: list[str] | None = None,
     out: tuple[str, str, str] = ("lang_pred", "score", "spans"),
+    known: str = "",
 ) -> DataFrame:
-    """Add language, score and spans (array of start, stop, lang in characters)."""
+    """Add language, score and spans (array of start, stop, lang in characters).
+
+    `known`, if given, names a column with the share of letters in scripts of learned languages:
+    a text in two of them has a low score but a high share.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets times languages
 
     def make():
         def work(texts):
-            names, score, spans = [], [], []
+            names, score, spans, share = [], [], [], []
             texts = common.texts_of(texts)
             for a, b in common.slices(texts, 8 * common.SLICE_CHARS):
-                n, s, p = label(texts[a:b], shared.value)
+                n, s, p, k = label_known(texts[a:b], shared.value)
                 names, spans = names + n, spans + p
                 score.append(s)
-            return [
-                pa.array(names, pa.string()),
-                pa.array(np.concatenate(score) if score else [], pa.float64()),
-                pa.array(spans, SPANS),
+                share.append(k)
+            numbers = [
+                pa.array(np.concatenate(x) if x else [], pa.float64()) for x in (score, share)
             ]
+            made = [pa.array(names, pa.string()), numbers[0], pa.array(spans, SPANS)]
+            return [*made, numbers[1]] if known else made
 
         return work
 
-    return common.append(
-        docs, [text],
-        "{} string, {} double, {} array<struct<start:int,stop:int,lang:string>>".format(*out),
-        make, keep,
-    )
+    outputs = "{} string, {} double, {} array<struct<start:int,stop:int,lang:string>>".format(*out)
+    return common.append(docs, [text], outputs + (f", {known} double" if known else ""), make, keep)
 
 
 SPANS = pa.list_(

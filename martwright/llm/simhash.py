@@ -280,14 +280,19 @@ def group(
 def deduplicate(
     docs: DataFrame, width: int = 3, most: int = 2, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The document of the smallest key of each component (one row, if rows repeat a key)."""
+    """The document of the smallest key of each component (one row, if rows repeat a key).
+
+    The numbers of the rows that go are written first: their size is then known, and where it is
+    small Spark broadcasts them and no text moves.
+    """
     marked = fingerprints(docs, width, text, out="__fp")
     marked = common.written(
         marked.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows"
     )
     order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "__row")
     rows = marked.select(F.col("__fp").alias("fp"), "__row", order.alias("order"))
-    first = rows.join(_named(rows, "order", most), "fp").filter(
-        F.col("order")["__row"] == F.col("component_id")["__row"]
+    copies = rows.join(_named(rows, "order", most), "fp").filter(
+        F.col("order")["__row"] != F.col("component_id")["__row"]
     )
-    return marked.join(first.select("__row"), "__row", "left_semi").select(*docs.columns)
+    copies = common.written(copies.select("__row"), "simhash-copies")
+    return marked.join(copies, "__row", "left_anti").select(*docs.columns)

@@ -78,6 +78,38 @@ def test_masks_meet_every_accepted_pattern(length):
         assert any(p.isdisjoint(pattern) for p in placed), (masks, pattern)
 
 
+def test_masks_leave_places_out():
+    """No item from 8 words on needs a run of words."""
+    for lengths in (range(8, 21), range(15, 21), [20]):
+        used = dec.choose_masks(list(lengths), 0.8)
+        assert len(used) <= dec.FEW and all(m[-1] >= len(m) >= 5 for m in used)
+        assert {n for own in used.values() for n in own} == set(lengths)
+
+
+def test_short_items_do_not_make_documents_go(spark):
+    docs = spark.createDataFrame([(1, "some of the words"), (2, " ".join(VOCABULARY[:30]))], "doc_id long, text string")
+    bench = spark.createDataFrame(
+        [(1, "the"), (2, "of the"), (3, " ".join(VOCABULARY[5:25]))], "item_id long, text string"
+    )
+    found = {(r["doc_id"], r["item_id"]) for r in dec.overlaps(docs, bench).collect()}
+    assert found == {(1, 1), (1, 2), (2, 3)}
+    assert [r["doc_id"] for r in dec.clean(docs, bench).collect()] == [1]
+    assert dec.clean(docs, bench, least=1).count() == 0
+
+
+def test_large_benchmarks_read_the_documents_once(spark, odd_docs):
+    bench = spark.createDataFrame([(n, " ".join(words(30))) for n in range(40)], "item_id long, text string")
+    plans = []
+    written = dec.common.written
+    dec.common.written = lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or written(df, name)
+    try:
+        few = dec.overlaps(odd_docs, bench, block_words=100).collect()
+    finally:
+        dec.common.written = written
+    assert len(plans) == 1 and plans[0].count("posexplode") == 2 and "strategy=broadcast" not in plans[0]
+    assert few == dec.overlaps(odd_docs, bench).collect()
+
+
 def test_short_items_odd_places_and_all_changes(spark):
     """Items of 1 to 21 words, at even and odd places, with as many changes as are accepted."""
     items = [[f"i{n}x{k}" for k in range(n)] for n in range(1, 22)]

@@ -40,7 +40,7 @@ def test_odd_rows(spark, odd_docs):
 
 
 def test_every_query_is_registered():
-    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -50,3 +50,18 @@ def test_query_equals_its_sql(spark, name):
     assert compare(QUERIES[name](spark, DATA), connect(DATA), ORACLE_SQL[name]) == []
 
 
+
+
+def test_texts_in_two_languages_stay(spark):
+    """Half French, half German, with a few words in a script nobody learned."""
+    docs = table(spark, DATA, "documents")
+    parts = {r["lang"]: r["text"].split()[:60] for r in docs.filter("length(text) > 600").collect()}
+    mixed = " ".join([*parts["fr"], "пара слов", *parts["de"]])
+    odd = docs.limit(1).selectExpr("doc_id + 900000 AS doc_id", "lang", "source", "n_chars")
+    rows = [(mixed, 1), ("только чужие буквы и слова", 2), (None, 3), ("12 34 !", 4)]
+    extra = spark.createDataFrame(rows, "text string, n int").crossJoin(odd).selectExpr(
+        "doc_id + n AS doc_id", "text", "lang", "source", "n_chars"
+    )
+    kept = pipeline.keep_language(spark, docs.unionByName(extra), DATA)
+    first = odd.first()["doc_id"]
+    assert {r["doc_id"] - first for r in kept.filter("doc_id > 900000").collect()} == {1}
