@@ -12,10 +12,14 @@ from trigram counts over all such words of the corpus, smoothed down to a unifor
 all code points (Witten-Bell), so that a rare or garbled word is charged for what it says.
 
 What is gathered grows with the corpus: word counts over all documents (each task sends what it
-has counted, Spark adds up), the trigrams of the rare ones, then weights. Training is iterative parameter mixing: in each round
-every task goes over its own documents, masking every `mask_every`-th token from one phase after
-another. The phases are dealt over the rounds, so that every token is a target at least once. Then
-it sends its weights with the number of targets seen; Spark averages them block by block, as a stream.
+has counted, Spark adds up), the trigrams of the rare ones, then weights. Texts are cut into tokens
+once: training and scoring read a table of ids. Training is iterative parameter mixing over shards:
+a document's shard follows from a hash of its key, the number of shards from the number of tokens,
+and a shard's documents are sorted by that hash, so the weights do not depend on how the input is
+dealt over files and tasks. In each round every shard is gone over from the mixed weights, masking
+every `mask_every`-th token from one phase after another. The phases are dealt over the rounds, so
+that every token is a target at least once. Then its weights are sent with the number of targets
+seen; Spark averages them block by block, as a stream.
 
 Edge cases: null and empty texts have no token, log-probability 0 and a null mean; with given
 params words outside the vocabulary are one unknown token and no more; places beyond the text are a padding token; repeated rows
@@ -42,7 +46,9 @@ SIDE = 2
 PAD, UNKNOWN = 0, 1
 COUNTED = 200_000  # distinct words a task holds before it sends its counts
 BLOCK = 4096  # weights averaged together
-TILE = 16  # rows of one class that a training step works on together
+CHUNK = 8192  # tokens scored together
+SHARD_TOKENS = 2_000_000  # tokens of a shard, about; one longer document is not split
+MASKED_TOKENS = 250_000  # tokens of a shard that are masked together, phase after phase
 
 
 @dataclass(frozen=True)
@@ -53,7 +59,7 @@ class LMParams:
     hidden: int = 32
     rounds: int = 2
     mask_every: int = 32  # targets of one phase; the rounds share the phases
-    batch: int = 512
+    batch: int = 4096
     rate: float = 0.1
     seed: int = 11
     spelled: bool = False  # words outside the vocabulary are charged for their letters
@@ -121,11 +127,10 @@ START, STOP = "\n", " "  # never in a word, which holds no white space
 CHARACTERS = 0x110000
 
 
-class Spelling(dict):
-    """Log-probability of the letters of a word; remembers up to COUNTED words."""
+class Spelling:
+    """Log-probability of the letters of words; remembers up to COUNTED words."""
 
     def __init__(self, trigrams: Iterable[tuple[str, int]]):
-        super().__init__()
         # Per context of 2, 1 and 0 characters: how often each followed; in all, and how many kinds.
         self.seen: tuple[dict[str, int], ...] = ({}, {}, {})
         self.total: tuple[dict[str, list[int]], ...] = ({}, {}, {})
@@ -137,7 +142,12 @@ class Spelling(dict):
                 both = total.setdefault(gram[:-1], [0, 0])
                 both[0] += n
                 both[1] += 1
-        self.steps: dict[str, float] = {}
+        # The steps of all trigrams that were seen, by their three code points.
+        points = _points("".join(self.seen[0])).reshape(-1, 3)
+        keys, steps = _packed_three(points), np.fromiter(map(self.step, self.seen[0]), float)
+        order = np.argsort(keys)
+        self.keys, self.steps = np.append(keys[order], -1), np.append(steps[order], 0.0)
+        self.words: dict[str, float] = {}
 
     def step(self, three: str) -> float:
         """Log-probability of the third character after the other two."""
@@ -145,57 +155,94 @@ class Spelling(dict):
         for k in (2, 1, 0):
             if both := self.total[k].get(three[k:-1]):
                 p = (self.seen[k].get(three[k:], 0) + both[1] * p) / (both[0] + both[1])
-        if len(self.steps) >= COUNTED:
-            self.steps.clear()
-        self.steps[three] = found = float(np.log(p))
-        return found
-
-    def __missing__(self, word: str) -> float:
-        if len(self) >= COUNTED:
-            self.clear()
-        own, steps = START * 2 + word + STOP, self.steps
-        found = 0.0
-        for i in range(len(own) - 2):
-            three = own[i : i + 3]
-            known = steps.get(three)
-            found += self.step(three) if known is None else known
-        self[word] = found
-        return found
-
-
-def spelled_sums(texts: list[str], flat: np.ndarray, spelling: Spelling) -> np.ndarray:
-    """Per place, what the letters of an unknown word cost; 0 for the others."""
-    out = np.zeros(len(flat))
-    words = list(chain.from_iterable(t.lower().split() for t in texts))
-    unknown = np.flatnonzero(flat == UNKNOWN)
-    out[unknown] = np.fromiter((spelling[words[i]] for i in unknown.tolist()), float, len(unknown))
-    return out
-
-
-def tokenise(texts: list[str], tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All tokens with SIDE paddings around each text, places of real ones, number per text."""
+        return float(np.log(p))
+
+    def __getitem__(self, word: str) -> float:
+        return float(self.costs([word])[0])
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.words) + len(words) > COUNTED:
+            self.words.clear()
+        spelled = [START * 2 + w + STOP for w in words]
+        points = _points("".join(spelled))
+        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        keys = _packed_three(np.stack([points[:-2], points[1:-1], points[2:]], axis=1))
+        last = np.cumsum(sizes)[:-1]
+        inside = np.ones(len(keys), bool)  # not over the end of a word
+        inside[last - 1] = inside[last - 2] = False
+        keys = keys[inside]
+        at = np.searchsorted(self.keys[:-1], keys)
+        steps = self.steps[at]
+        for i in np.flatnonzero(self.keys[at] != keys).tolist():
+            steps[i] = self.step("".join(chr(keys[i] >> k & 0x1FFFFF) for k in (42, 21, 0)))
+        sums = common.segment_sums(steps, sizes - 2)
+        self.words.update(zip(words, sums.tolist(), strict=True))
+
+    def costs(self, words: list[str]) -> np.ndarray:
+        """Log-probability of each word."""
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        found = np.zeros(len(distinct))
+        for a in range(0, len(distinct), COUNTED):
+            some = distinct[a : a + COUNTED]
+            new = [w for w in some if w not in self.words]
+            if len(self.words) + len(new) > COUNTED:
+                new = some  # the others are forgotten
+            if new:
+                self._learn(new)
+            found[a : a + len(some)] = [self.words[w] for w in some]
+        return found[coded.indices.to_numpy()] if len(words) else found
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+
+
+def _packed_three(points: np.ndarray) -> np.ndarray:
+    return points[:, 0] << 42 | points[:, 1] << 21 | points[:, 2]
+
+
+def tokens_of(texts: list[str], tokens: Tokens) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """All tokens, number per text, and the words outside the vocabulary in order."""
     found = [t.lower().split() for t in texts]
     counts = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter(map(tokens.__getitem__, chain.from_iterable(found)), np.int64, counts.sum())
-    row = np.repeat(np.arange(len(found)), counts)
+    words = list(chain.from_iterable(found))
+    flat = np.fromiter(map(tokens.__getitem__, words), np.int64, len(words))
+    return flat, counts, [words[i] for i in np.flatnonzero(flat == UNKNOWN).tolist()]
+
+
+def padded_tokens(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens with SIDE paddings around each text, and the places of real ones."""
+    row = np.repeat(np.arange(len(counts)), counts)
     places = np.arange(len(flat)) + SIDE * (row + 1)
-    padded = np.full(len(flat) + SIDE * (len(found) + 1), PAD)
+    padded = np.full(len(flat) + SIDE * (len(counts) + 1), PAD)
     padded[places] = flat
-    return padded, places, counts
+    return padded, places
+
+
+def tokenise(texts: list[str], tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens with SIDE paddings around each text, places of real ones, number per text."""
+    flat, counts, _ = tokens_of(texts, tokens)
+    return *padded_tokens(flat, counts), counts
 
 
 # -- network -------------------------------------------------------------------------------
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(axis=-1, keepdims=True))
-    return z / z.sum(axis=-1, keepdims=True)
+    """In place, over the columns of each row."""
+    z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    return z
 
 
 def _log_chosen(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    top = z.max(axis=1)
-    total = np.exp(z - top[:, None]).sum(axis=1)
-    return z[np.arange(len(z)), chosen] - top - np.log(total)
+    """Log-probability of the chosen row of each column; overwrites `z`."""
+    z -= z.max(axis=0)
+    found = z[chosen, np.arange(z.shape[1])]
+    np.exp(z, out=z)
+    return found - np.log(z.sum(axis=0))
 
 
 def _context(padded: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -212,24 +259,28 @@ def _order(values: np.ndarray, limit: int) -> np.ndarray:
     return np.argsort(values.astype(np.uint16) if limit <= 1 << 16 else values, kind="stable")
 
 
+def _cuts(group: np.ndarray, classes: int) -> list[int]:
+    """Where each class starts in sorted classes."""
+    return np.searchsorted(group, np.arange(classes + 1)).tolist()
+
+
 def log_probabilities(w: Weights, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Log-probability of the token at each place, given those on both sides."""
-    per_class = w["inner"].shape[2]
+    classes, _, per_class = w["inner"].shape
     out = np.empty(len(places))
-    for a in range(0, len(places), 1 << 15):
-        own = places[a : a + (1 << 15)]
-        target = padded[own]
-        _, h = _hidden(w, _context(padded, own))
-        group, member = target // per_class, target % per_class
-        part = _log_chosen(h @ w["outer"] + w["outer_bias"], group)
-        order = _order(group, w["inner"].shape[0])
-        cuts = np.searchsorted(group[order], np.arange(w["inner"].shape[0] + 1))
+    for a in range(0, len(places), CHUNK):
+        own = places[a : a + CHUNK]
+        order = _order(padded[own], len(w["embed"]))
+        own = own[order]
+        group, member = padded[own] // per_class, padded[own] % per_class
+        h = np.ascontiguousarray(_hidden(w, _context(padded, own))[1].T)
+        part = _log_chosen(w["outer"].T @ h + w["outer_bias"][:, None], group)
+        z = np.empty((per_class, len(own)), h.dtype)
+        cuts = _cuts(group, classes)
         for c, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if e > s:
-                rows = order[s:e]
-                z = h[rows] @ w["inner"][c] + w["inner_bias"][c]
-                part[rows] += _log_chosen(z, member[rows])
-        out[a : a + len(own)] = part
+                z[:, s:e] = w["inner"][c].T @ h[:, s:e] + w["inner_bias"][c][:, None]
+        out[a + order] = part + _log_chosen(z, member)
     return out
 
 
@@ -246,46 +297,44 @@ class Trainer:
         self.w[name][rows] -= self.params.rate * grad / np.sqrt(seen)
 
     def step(self, padded: np.ndarray, places: np.ndarray) -> None:
-        w, n = self.w, len(places)
-        target = padded[places]
-        group, member = target // self.params.per_class, target % self.params.per_class
+        w, n, params = self.w, len(places), self.params
+        # By token, so that the rows of a class lie side by side.
+        places = places[_order(padded[places], params.size)]
+        group, member = padded[places] // params.per_class, padded[places] % params.per_class
+        rows = np.arange(n)
         context = _context(padded, places)
         seen, h = _hidden(w, context)
         d_outer = _softmax(h @ w["outer"] + w["outer_bias"])
-        d_outer[np.arange(n), group] -= 1
+        d_outer[rows, group] -= 1
         d_h = d_outer @ w["outer"].T
-        # Rows by class, each class filled up to whole tiles, so that all are worked on at once.
-        order = _order(group, self.params.classes)
-        sizes = np.bincount(group)
-        used = np.flatnonzero(sizes)
-        counts, tiles = sizes[used], -(-sizes[used] // TILE)
-        first = np.cumsum(tiles) - tiles
-        slot = np.repeat(first * TILE - (np.cumsum(counts) - counts), counts) + np.arange(n)
-        tiled = np.zeros((tiles.sum() * TILE, h.shape[1]), h.dtype)
-        tiled[slot] = h[order]
-        tiled = tiled.reshape(-1, TILE, h.shape[1])
-        of_tile = np.repeat(used, tiles)
-        inner = w["inner"][of_tile]
-        p = _softmax(tiled @ inner + w["inner_bias"][of_tile][:, None]).reshape(-1, inner.shape[2])
-        d = np.zeros_like(p)
-        d[slot] = p[slot]
-        d[slot, member[order]] -= 1
-        d = d.reshape(*tiled.shape[:2], -1)
-        d_h[order] += (d @ inner.transpose(0, 2, 1)).reshape(-1, h.shape[1])[slot]
-        self._move("inner", np.add.reduceat(tiled.transpose(0, 2, 1) @ d, first) / n, used)
-        self._move("inner_bias", np.add.reduceat(d.sum(axis=1), first) / n, used)
+        cuts = _cuts(group, params.classes)
+        used = [c for c in range(params.classes) if cuts[c + 1] > cuts[c]]
+        d = np.empty((n, params.per_class), h.dtype)
+        for c in used:
+            own = slice(cuts[c], cuts[c + 1])
+            np.matmul(h[own], w["inner"][c], out=d[own])
+            d[own] += w["inner_bias"][c]
+        d = _softmax(d)
+        d[rows, member] -= 1
+        d_inner = np.empty((len(used), *w["inner"].shape[1:]), h.dtype)
+        for i, c in enumerate(used):
+            own = slice(cuts[c], cuts[c + 1])
+            d_h[own] += d[own] @ w["inner"][c].T
+            np.matmul(h[own].T, d[own], out=d_inner[i])
+        self._move("inner", d_inner / n, used)
+        sizes = np.diff(cuts)[used]
+        self._move("inner_bias", common.segment_sums(d, sizes) / n, used)
         d_z = d_h * (1 - h * h)
-        d_seen = (d_z @ w["mix"].T / n).reshape(-1, self.params.width)
+        d_seen = (d_z @ w["mix"].T / n).reshape(-1, params.width)
         self._move("outer", h.T @ d_outer / n)
         self._move("outer_bias", d_outer.sum(axis=0) / n)
         self._move("mix", seen.T @ d_z / n)
         self._move("bias", d_z.sum(axis=0) / n)
         context = context.ravel()
-        by = _order(context, self.params.size)
+        by = _order(context, params.size)
         counts = np.bincount(context)
-        used = np.flatnonzero(counts)
-        counts = counts[used]
-        self._move("embed", common.segment_sums(d_seen[by], counts), used)
+        found = np.flatnonzero(counts)
+        self._move("embed", common.segment_sums(d_seen[by], counts[found]), found)
 
 
 # -- Spark ---------------------------------------------------------------------------------
@@ -359,34 +408,95 @@ def _counted(counts: dict[str, int]) -> pa.RecordBatch:
 OPEN = LMParams(spelled=True)
 
 
-def train(docs: DataFrame, params: LMParams = OPEN, text: str = "text") -> LMModel:
-    """Vocabulary, spelling and weights from all documents."""
-    session = docs.sparkSession
+def read_words(docs: DataFrame, params: LMParams = OPEN, text: str = "text") -> LMModel:
+    """Vocabulary and spelling from all documents; weights not trained yet."""
     counts = word_counts(docs, text)
     if params.spelled:
         counts = common.written(counts, "word-counts")  # read twice
     words = vocabulary(counts, params.size - 2)
     trigrams = trigrams_outside(counts, words) if params.spelled else None
-    weights = initial(params)
+    return LMModel(params, words, initial(params), trigrams)
+
+
+def encode(
+    docs: DataFrame, model: LMModel, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """Add `lm_ids` (tokens as little-endian unsigned 16-bit numbers) and `lm_spelled`, what the
+    letters of the words outside the vocabulary cost."""
+    if model.params.size > 1 << 16:
+        raise ValueError("ids have 16 bits")
+    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.trigrams))
+
+    def make():
+        words, trigrams = shared.value
+        tokens, spelling = Tokens(words), None if trigrams is None else Spelling(trigrams)
+
+        def work(texts):
+            texts, ids, spelled = common.texts_of(texts), [], []
+            for a, b in common.slices(texts):
+                flat, counts, outside = tokens_of(texts[a:b], tokens)
+                ends = np.cumsum(counts)
+                flat16 = flat.astype("<u2")
+                ids += [flat16[e - n : e].tobytes() for n, e in zip(counts, ends, strict=True)]
+                costs = np.zeros(len(flat))
+                if spelling is not None and outside:
+                    costs[flat == UNKNOWN] = spelling.costs(outside)
+                spelled.append(common.segment_sums(costs, counts))
+            sums = np.concatenate(spelled) if spelled else np.zeros(0)
+            return [pa.array(ids, pa.binary()), pa.array(sums, pa.float64())]
+
+        return work
+
+    return common.append(docs, [text], "lm_ids binary, lm_spelled double", make, keep)
+
+
+def _sharded(coded: DataFrame, key: str | None) -> DataFrame:
+    """(shard, ids), the rows of a shard together in one file and in the order of their hash."""
+    size = F.octet_length("lm_ids")
+    total = coded.agg(F.sum(size)).first()[0] or 0
+    shards = max(1, -(-total // (2 * SHARD_TOKENS)))
+    named = F.xxhash64(F.lit("shard"), *([F.col(key)] if key else [F.col("lm_ids")]))
+    rows = coded.filter(size > 0).select(
+        F.pmod(named, F.lit(shards)).alias("shard"), named.alias("place"), F.col("lm_ids").alias("ids")
+    )
+    # The ids themselves settle the order of rows that share a key.
+    order = ["shard", "place", "ids"]
+    dealt = rows.repartitionByRange(shards, "shard").sortWithinPartitions(*order)
+    return common.written(dealt.select("shard", "ids"), "lm-shards")
+
+
+def _targets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """Shards in pieces of about MASKED_TOKENS tokens, cut alike however rows come in batches."""
+    now, held, size = None, [], 0
+    for batch in batches:
+        for shard, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and (shard != now or size >= 2 * MASKED_TOKENS):
+                yield now, held
+                held, size = [], 0
+            now = shard
+            held.append(ids)
+            size += len(ids)
+    if held:
+        yield now, held
+
+
+def fit(coded: DataFrame, model: LMModel, key: str | None = None) -> LMModel:
+    """The model with weights trained on encoded documents, in shards by hash of `key` (of the ids
+    without one, which puts copies into one shard)."""
+    params, weights = model.params, model.weights
+    session = coded.sparkSession
+    common.importable(session)
+    shards = _sharded(coded, key)
     for turn in range(params.rounds):
-        shared = session.sparkContext.broadcast(LMModel(params, words, weights))  # fixed size
+        shared = session.sparkContext.broadcast(weights)  # fixed size
 
         def learn(batches, turn=turn, shared=shared):
-            model = shared.value
-            tokens, trainer, targets = Tokens(model.words), Trainer(model.weights, params), 0
-            for batch in batches:
-                texts = common.texts_of(batch.column(0))
-                for a, b in common.slices(texts):
-                    padded, places, _ = tokenise(texts[a:b], tokens)
-                    for phase in params.phases(turn):
-                        masked = places[phase :: params.mask_every]
-                        for s in range(0, len(masked), params.batch):
-                            trainer.step(padded, masked[s : s + params.batch])
-                        targets += len(masked)
-            if targets:
+            now, trainer, targets = None, None, 0
+
+            def sent():
                 flat = packed(trainer.w) * targets
                 blocks = [flat[s : s + BLOCK] for s in range(0, len(flat), BLOCK)]
-                yield pa.RecordBatch.from_arrays(
+                return pa.RecordBatch.from_arrays(
                     [
                         pa.array(range(len(blocks)), pa.int32()),
                         pa.array([float(targets)] * len(blocks)),
@@ -395,6 +505,22 @@ def train(docs: DataFrame, params: LMParams = OPEN, text: str = "text") -> LMMod
                     names=["block", "targets", "total"],
                 )
 
+            for shard, held in _targets(batches):
+                if shard != now:
+                    if targets:
+                        yield sent()
+                    now, trainer, targets = shard, Trainer(shared.value, params), 0
+                counts = np.fromiter(map(len, held), np.int64, len(held)) // 2
+                flat = np.frombuffer(b"".join(held), "<u2").astype(np.int64)
+                padded, places = padded_tokens(flat, counts)
+                for phase in params.phases(turn):
+                    masked = places[phase :: params.mask_every]
+                    for s in range(0, len(masked), params.batch):
+                        trainer.step(padded, masked[s : s + params.batch])
+                    targets += len(masked)
+            if targets:
+                yield sent()
+
         def add(batches):
             sums: dict[int, tuple[float, np.ndarray]] = {}
             for batch in batches:
@@ -411,7 +537,7 @@ def train(docs: DataFrame, params: LMParams = OPEN, text: str = "text") -> LMMod
                 names=["block", "targets", "total"],
             )
 
-        sent = docs.select(text).mapInArrow(learn, "block int, targets double, total array<float>")
+        sent = shards.mapInArrow(learn, "block int, targets double, total array<float>")
         mixed = sent.repartition("block").mapInArrow(
             add, "block int, targets double, total array<double>"
         )
@@ -420,37 +546,63 @@ def train(docs: DataFrame, params: LMParams = OPEN, text: str = "text") -> LMMod
             flat = np.concatenate([np.array(r["total"]) / r["targets"] for r in found])
             weights = unpacked(flat, params)
         shared.unpersist()
-    return LMModel(params, words, weights, trigrams)
+    return LMModel(params, model.words, weights, model.trigrams)
 
 
-def score(
-    docs: DataFrame, model: LMModel, text: str = "text", keep: list[str] | None = None
+def train(
+    docs: DataFrame, params: LMParams = OPEN, text: str = "text", key: str | None = "doc_id"
+) -> LMModel:
+    """Vocabulary, spelling and weights from all documents."""
+    common.importable(docs.sparkSession)
+    key = key if key in docs.columns else None
+    model = read_words(docs, params, text)
+    coded = common.written(encode(docs, model, text, [key] if key else []), "lm-ids")
+    return fit(coded, model, key)
+
+
+def score_encoded(
+    coded: DataFrame, model: LMModel, keep: list[str] | None = None
 ) -> DataFrame:
-    """Add `n_tokens`, `log_prob` (the sum) and `mean_log_prob` (null without a token)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # LMParams, and the trigrams seen
+    """`score` of documents that are encoded."""
+    shared = coded.sparkSession.sparkContext.broadcast(model.weights)  # fixed size
 
     def make():
-        tokens = Tokens(shared.value.words)
-        trigrams = shared.value.trigrams
-        spelling = None if trigrams is None else Spelling(trigrams)
-
-        def work(texts):
-            texts = common.texts_of(texts)
-            counts, sums = [], []
-            for a, b in common.slices(texts):
-                padded, places, n = tokenise(texts[a:b], tokens)
-                logs = log_probabilities(shared.value.weights, padded, places)
-                if spelling is not None:
-                    logs += spelled_sums(texts[a:b], padded[places], spelling)
-                counts.append(n)
-                sums.append(common.segment_sums(logs, n))
-            n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-            total = np.concatenate(sums) if sums else np.zeros(0)
+        def work(ids, spelled):
+            held, sums = ids.to_pylist(), []
+            n = np.fromiter(map(len, held), np.int64, len(held)) // 2
+            for a, b in _runs(n):
+                flat = np.frombuffer(b"".join(held[a:b]), "<u2").astype(np.int64)
+                logs = log_probabilities(shared.value, *padded_tokens(flat, n[a:b]))
+                sums.append(common.segment_sums(logs, n[a:b]))
+            total = (np.concatenate(sums) if sums else np.zeros(0)) + spelled.to_numpy()
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
             return [pa.array(n, pa.int64()), pa.array(total, pa.float64()), mean]
 
         return work
 
-    return common.append(
-        docs, [text], "n_tokens long, log_prob double, mean_log_prob double", make, keep
-    )
+    outputs = "n_tokens long, log_prob double, mean_log_prob double"
+    kept = [c for c in (coded.columns if keep is None else keep) if c not in ("lm_ids", "lm_spelled")]
+    return common.append(coded, ["lm_ids", "lm_spelled"], outputs, make, kept)
+
+
+def _runs(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about MASKED_TOKENS tokens."""
+    start, size = 0, 0
+    for i, n in enumerate(counts.tolist()):
+        if i > start and size + n > MASKED_TOKENS:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(counts):
+        yield start, len(counts)
+
+
+def score(
+    docs: DataFrame, model: LMModel, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """Add `n_tokens`, `log_prob` (the sum) and `mean_log_prob` (null without a token)."""
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in SCORES]
+    return score_encoded(encode(docs, model, text, kept), model, kept)
+
+
+SCORES = ("n_tokens", "log_prob", "mean_log_prob")

@@ -23,7 +23,7 @@ from martwright.llm import (
     warc,
     word_bpe,
 )
-from martwright.llm.common import bucket_of, table
+from martwright.llm.common import bucket_of, table, written
 from martwright.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,7 +237,10 @@ FROM f GROUP BY conv_id
 @query("op3_lm_scoring")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lm_scoring.score(docs, lm_scoring.train(docs), keep=["doc_id"])
+    model = lm_scoring.read_words(docs)
+    # Cut into tokens once, for training and for scoring.
+    coded = written(lm_scoring.encode(docs, model, keep=["doc_id"]), "lm-ids")
+    return lm_scoring.score_encoded(coded, lm_scoring.fit(coded, model, "doc_id"))
 
 
 @query("op11_fill_in_middle")

@@ -131,3 +131,66 @@ def test_production_params_learn_more_than_a_sixteenth_teaches(spark):
     entropy = -(share[share > 0] * np.log(share[share > 0])).sum()
     whole = lm.log_probabilities(model.weights, padded, places).mean()
     assert whole > lm.log_probabilities(few.w, padded, places).mean() and -whole < entropy
+
+
+def test_scores_do_not_depend_on_the_partitions(spark, monkeypatch):
+    """Several shards, dealt over 1 and 7 partitions in other orders."""
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 12_000)
+    docs = table(spark, DATA, "documents").select("doc_id", "text")
+    copies = docs.unionByName(docs.limit(5)).unionByName(docs.limit(3).selectExpr("doc_id", "'other' AS text"))
+    found = []
+    for dealt in (copies.coalesce(1), copies.repartition(7), copies.orderBy("text").repartition(3, "text")):
+        model = lm.train(dealt)
+        rows = lm.score(dealt, model).select("doc_id", "text", "log_prob").collect()
+        found.append(sorted((r["doc_id"], r["text"], r["log_prob"]) for r in rows))
+    for other in found[1:]:
+        assert [r[:2] for r in other] == [r[:2] for r in found[0]]
+        for a, b in zip(found[0], other, strict=True):
+            assert abs(a[2] - b[2]) <= 1e-3 * abs(a[2])
+
+
+def test_log_prob_is_that_of_a_full_softmax(spark):
+    """Every document against plain sums over the whole vocabulary, and letter by letter."""
+    docs = table(spark, DATA, "documents").filter("length(text) < 1500")
+    model = lm.train(docs, lm.LMParams(classes=6, per_class=7, spelled=True))
+    w = {n: x.astype(float) for n, x in model.weights.items()}
+    ids = {word: i + 2 for i, word in enumerate(model.words)}
+    grams = dict(model.trigrams)
+
+    def letter(three, k=0):
+        """Probability of the last character after the others, smoothed by shorter contexts."""
+        if k == 3:
+            return 1 / lm.CHARACTERS
+        after = {}
+        for gram, n in grams.items():
+            if gram[k:2] == three[k:2]:
+                after[gram[2]] = after.get(gram[2], 0) + n
+        shorter = letter(three, k + 1)
+        if not after:
+            return shorter
+        total = sum(after.values())
+        return (after.get(three[2], 0) + len(after) * shorter) / (total + len(after))
+
+    known, letters = {}, {}
+    for r in sorted(lm.score(docs, model).collect(), key=lambda r: len(r["text"]))[:25]:
+        words = r["text"].lower().split()
+        tokens = [0, 0, *(ids.get(x, 1) for x in words), 0, 0]
+        total = 0.0
+        for i, word in enumerate(words, 2):
+            sides = tuple(tokens[i + o] for o in lm.PLACES)
+            if sides not in known:
+                h = np.tanh(np.concatenate([w["embed"][t] for t in sides]) @ w["mix"] + w["bias"])
+                outer = np.exp(h @ w["outer"] + w["outer_bias"])
+                inner = np.exp(np.einsum("h,chm->cm", h, w["inner"]) + w["inner_bias"])
+                full = (outer / outer.sum())[:, None] * inner / inner.sum(axis=1, keepdims=True)
+                known[sides] = full.ravel()
+                assert abs(full.sum() - 1) < 1e-9
+            total += np.log(known[sides][tokens[i]])
+            if tokens[i] == 1:
+                own = "\n\n" + word + " "
+                for j in range(len(own) - 2):
+                    three = own[j : j + 3]
+                    if three not in letters:
+                        letters[three] = np.log(letter(three))
+                    total += letters[three]
+        assert abs(total - r["log_prob"]) < 1e-4 * max(1, abs(total))
