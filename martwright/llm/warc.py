@@ -3,7 +3,10 @@
 Writing: payloads of at least `least_bytes` that are equal share one response record, the one of
 the largest key; the others become revisit records, which carry the digest and length of the
 payload but not the payload. Keys and digests alone are grouped and joined; a payload moves only
-to meet the decision on its own row. Archives are gzip files of at most `per_file` records.
+to meet the decision on its own row. Archives are gzip files of bounded size: records are written
+by size class, those of up to SMALL bytes `per_file` to an archive, those of up to STEP times as
+many bytes STEP times fewer, and so on down to one, so an archive holds at most `per_file` times
+SMALL bytes (128 MB) besides the headers, or one record.
 
 Reading: a payload may hold anything, even whole records, so the magic alone proves nothing. A
 task takes one archive, notes every place with the magic and a readable header as a candidate, and
@@ -13,8 +16,9 @@ logarithmic number of steps over whole arrays; all other candidates are payload.
 
 Edge cases: a null payload is empty; a null key is written as an empty id and read back as null,
 and is a response unless a copy has a key; rows that repeat key and payload are all the response;
-a truncated or broken record ends the chain of its archive, what came before it stays. An empty
-table gives archives without a record.
+a truncated or broken record ends the chain of its archive, what came before it stays. One record
+above 2 GB cannot be read back: neither a cell nor a file can be held whole. An empty table gives
+archives without a record.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PER_FILE = 2000
+SMALL, STEP = 1 << 16, 16  # bytes of the payloads of the first size class, and how classes widen
 
 
 def base32(digits: Column) -> Column:
@@ -96,15 +101,27 @@ def write(
     same = F.col("__key").eqNullSafe(F.col("__first")) & (F.col("__hash") == F.col("__own"))
     responses = full.filter(shared).join(owner, same, "left_semi").unionByName(full.filter(~shared))
     refers = F.concat(F.lit("WARC-Refers-To: "), _urn(F.col("__first")), F.lit("\r\n"))
-    records = responses.select(
-        F.concat(_header("response", "__key", [], F.col("__bytes")), "__body").alias("value")
-    ).unionByName(
-        revisits.select(_header("revisit", "__key", [refers], F.lit(0)).alias("value"))
+    whole = responses.select(
+        "__bytes",
+        F.concat(_header("response", "__key", [], F.col("__bytes")), "__body").alias("value"),
     )
-    (
-        records.write.option("lineSep", END).option("compression", "gzip")
-        .option("maxRecordsPerFile", per_file).text(path)
-    )
+    slight = revisits.select(_header("revisit", "__key", [refers], F.lit(0)).alias("value"))
+    sizes = [r[0] for r in slim.select(size_class(F.col("__bytes"))).distinct().collect()]
+    for size in sorted({0, *sizes}):  # a handful: each is STEP times the one before
+        own = whole.filter(size_class(F.col("__bytes")) == size).select("value")
+        records = own.unionByName(slight) if size == 0 else own
+        (
+            records.write.mode("append").option("lineSep", END).option("compression", "gzip")
+            .option("maxRecordsPerFile", max(1, per_file // STEP**size)).text(path)
+        )
+
+
+def size_class(size: Column) -> Column:
+    """0 for payloads of up to SMALL bytes, one more for each STEP times as many."""
+    found = F.lit(0)
+    for n in range(1, 5):  # the last class starts at 4 GB / STEP, no payload is above it
+        found = F.when(size > SMALL * STEP ** (n - 1), F.lit(n)).otherwise(found)
+    return found
 
 
 # -- reading -------------------------------------------------------------------------------

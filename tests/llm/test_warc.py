@@ -64,3 +64,23 @@ def test_only_the_chain_counts():
     assert list(warc.records(broken)) == []
     nested = FAKE.replace("Content-Length: 4", f"Content-Length: {len(FAKE)}").replace("fake", FAKE)
     assert [p for *_, p in warc.records(nested.encode())] == [FAKE.encode()]
+
+
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    """Pages of all sizes in one partition: no archive holds more than its class allows."""
+    import gzip
+
+    monkeypatch.setattr(warc, "SMALL", 100)
+    monkeypatch.setattr(warc, "STEP", 4)
+    rows = [(n, "u", chr(97 + n % 26) * (n * n) + str(n), 1) for n in range(60)] + [(99, "u", None, 1)]
+    path = fresh_path(spark, "warc-test")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, rank int").coalesce(1)
+    warc.write(pages, path, per_file=8)
+    out = warc.read(spark, path).withColumn("page_id", warc.key_of("record_id")).collect()
+    assert {r["page_id"]: bytes(r["payload"]).decode() for r in out} == {r[0]: r[2] or "" for r in rows}
+    held = {}
+    for r in out:
+        held.setdefault(r["archive"], []).append(r["payload_bytes"])
+    assert len(held) > 8 and all(len(sizes) == 1 or sum(sizes) <= 800 for sizes in held.values())
+    files = spark.read.format("binaryFile").load(path).select("content").collect()
+    assert max(len(gzip.decompress(f[0])) for f in files) <= 3481 + 400 + 8 * 300
