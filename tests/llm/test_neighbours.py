@@ -79,3 +79,28 @@ def test_bounds_hold(spark):
     about = (whole @ whole.T) * scale[:, None] * scale
     error = lost[:, None] * (1 + lost) + lost + neighbours.FUZZ
     assert (np.abs(about - unit @ unit.T) <= error).all() and error.max() < 0.05
+
+
+def test_a_repeated_id_is_its_least_vector(spark):
+    rng = np.random.default_rng(6)
+    vectors = [(i, floats(rng.normal(size=6)), None) for i in range(120)]
+    more = [(i, floats(rng.normal(size=6)), None) for i in (0, 0, 1, 50, 77)] + vectors[:3]
+    least = {}
+    for i, v, _ in vectors + more:
+        least[i] = min(v, least.get(i, v))
+    schema = "vec_id long, embedding array<float>, score string"
+    both = [
+        spark.createDataFrame(rows, schema)
+        for rows in (vectors + more, [(i, v, None) for i, v in least.items()])
+    ]
+    got, want = (
+        sorted(map(tuple, neighbours.nearest(df, F.col("vec_id") % 50 == 0, block=32).collect())) for df in both
+    )
+    assert got == want and len(got) == 15
+
+
+def test_numbers_of_a_byte_travel(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0, float(i)]) for i in range(9)], "id long, vector array<float>")
+    coded = neighbours.quantised(df)
+    assert dict(coded.dtypes) == {"id": "bigint", "whole": "binary", "scale": "double", "lost": "double"}
+    assert {len(r["whole"]) for r in coded.collect()} == {3}
