@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from martwright import fixed
 from martwright.functions.text import WHITESPACE
+from martwright.operators.shares import LIST_WIDTH
 from martwright.plans import roles
 
 
@@ -825,3 +826,24 @@ ORACLE_SQL["clean_jobs"] = _with(TERMS, ITEMS, RAW_SITES, REGIONS) + " UNION ALL
     ),
     _job("fact_terms", "SELECT *, 1 AS nth FROM terms", "", {"term": "term = ''", "frequency": "frequency IS NULL"}, None),
 ])
+
+_FLAGSHIPS = ITEMS + ", flagships AS (SELECT * FROM items WHERE is_flagship)"
+ORACLE_SQL["warehouse_build"] = " UNION ALL ".join(
+    f"SELECT '{view}' AS view, count(*) AS row_count, CAST(2 AS BIGINT) AS version, "
+    f"CAST(6 AS BIGINT) AS logged_first, CAST(1 AS BIGINT) AS logged_second FROM ({sql})"
+    for view, sql in {
+        "items_by_category": _with(_FLAGSHIPS) + "SELECT DISTINCT category FROM flagships",
+        "category_names": _with(_FLAGSHIPS)
+        + f"SELECT DISTINCT category, item_id // {LIST_WIDTH} FROM flagships",
+        "sites_by_region": ORACLE_SQL["region_type_mart"],
+        "term_ranking": _with(TERMS) + "SELECT * FROM terms",
+        "top_terms": ORACLE_SQL["top_terms"],
+        "posts_by_department": ORACLE_SQL["department_mart"],
+        "department_levels": _with(RAW_POSTS)
+        + f"SELECT DISTINCT department, post_id // {LIST_WIDTH} FROM raw_posts",
+        "portfolio_summary": ORACLE_SQL["kpi_core"],
+        "volume_trend": ORACLE_SQL["volume_trend"],
+        "control_state_summary": ORACLE_SQL["flag_summary"],
+        "market_share": ORACLE_SQL["share_metrics"],
+    }.items()
+)

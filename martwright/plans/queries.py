@@ -1025,3 +1025,38 @@ def clean_jobs(spark, folder):
     for job, rows in raw.items():
         cleaning.run_job(rows, job, fresh_path(spark, job.name), roles.AS_OF, log, "first run")
     return quality.read_log(spark, log).withColumn("issues", F.array_join("issues", "; "))
+
+
+@register
+def warehouse_build(spark, folder):
+    """The whole warehouse loaded twice, the second time with the flagship items only: rows of each
+    exported view after the second load, its number, and how many tables the log has for it."""
+    house = gold.Warehouse(spark, fresh_path(spark, "warehouse"))
+    items, volumes_ = roles.items(spark, folder), roles.state_volumes(spark, folder)
+    shares = share_metrics(spark, folder)
+    tables = {
+        specs.DIM_ITEM: items,
+        specs.DIM_SITE: roles.sites(spark, folder),
+        specs.FACT_POSTS: roles.posts(spark, folder).withColumn("terms", join_list("terms")),
+        specs.FACT_TERMS: roles.terms(spark, folder),
+        specs.FACT_VOLUMES: volumes_.withColumn("state_name", F.col("state_code")),
+        specs.FACT_SHARES: shares,
+    }
+    latest = {
+        "dim_item": "item_id", "dim_site": "site_id", "fact_posts": "post_id",
+        "fact_terms": "frequency",
+    }
+    house.build(tables, roles.AS_OF, latest, run="first")
+    again = {specs.DIM_ITEM: items.filter("is_flagship")}
+    result = house.build(
+        again, roles.AS_OF, latest, export_to=fresh_path(spark, "marts"), run="second"
+    )
+    log = quality.read_log(spark, house.path(specs.DQ_LOG.name)).groupBy("run").count().collect()
+    logged = {r["run"]: r["count"] for r in log}
+    version = live_version(spark, house.root)
+    rows = [
+        (name, count, version, logged["first"], logged["second"])
+        for name, count in result["exported"].items()
+    ]
+    schema = "view string, row_count bigint, version bigint, logged_first bigint, logged_second bigint"
+    return spark.createDataFrame(rows, schema)

@@ -51,9 +51,23 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    run = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/run-{run}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses; see `clean_run`."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_run(spark: SparkSession) -> None:
+    """Remove all tables that this application wrote between its steps.
+
+    For the caller's end: no DataFrame that an operator returned can be read after it.
+    """
+    remove(spark, run_folder(spark))
 
 
 def enable_checkpoints(spark: SparkSession) -> None:

@@ -210,3 +210,14 @@ def test_checks_that_fail_stop_no_other(spark, tmp_path):
     errors = {r["label"]: r["error"] for r in got if r["error"]}
     assert set(errors) == {"no table", "fails when run", "syntax", "raised"}
     assert "nowhere" in errors["no table"] and "stop" in errors["raised"]
+
+
+def test_a_run_can_be_cleaned(spark):
+    from martwright.session import clean_run, fresh_path, run_folder, written
+
+    kept = written(spark.range(4), "some-step")
+    assert kept.count() == 4 and fresh_path(spark, "x").startswith(run_folder(spark))
+    folder = run_folder(spark).removeprefix("file:")
+    assert os.path.isdir(folder)
+    clean_run(spark)
+    assert not os.path.exists(folder)

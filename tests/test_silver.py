@@ -119,6 +119,9 @@ def test_whole_job(spark, tmp_path):
         *(house.table(s) for s in (specs.DIM_ITEM, specs.DIM_SITE, specs.FACT_POSTS, specs.FACT_TERMS)),
         AT.date(),
     )
+    assert list(marts) == ["category_mart_first", "region_type_mart_basic", "top_terms", "kpi_exec"]
+    assert rows(marts["top_terms"].select("term")) == [("SQL",), ("Python",)]
+    assert marts["kpi_exec"].count() == 16 and marts["region_type_mart_basic"].count() == 2
     reports = gold.report_exports(
         *(house.table(s) for s in (specs.DIM_ITEM, specs.DIM_SITE, specs.FACT_POSTS, specs.FACT_TERMS))
     )
