@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from martwright.operators import phrases
 from martwright.operators.phrases import phrase_hits, phrase_index, tag_phrases, taxonomy_index
 from martwright.operators.tagging import Term, skill_taxonomy, tag_terms
 from martwright.plans import roles
@@ -59,3 +60,33 @@ def test_many_phrases(spark):
     index = phrase_index(table.filter("w <> ''"), "w", "w")
     found = phrase_hits(docs, "doc_id", "text", index)
     assert found.select("term").distinct().count() == words.filter("w <> ''").count()
+
+
+@pytest.mark.parametrize("heads", [0, 2, 3, 1000])
+def test_few_and_many_first_words(spark, monkeypatch, heads):
+    monkeypatch.setattr(phrases, "HEADS", heads)
+    rows = [("p", "a b"), ("q", "b c"), ("r", "a b c"), ("s", "c"), ("t", "c a"), ("u", "a a")]
+    index = phrase_index(spark.createDataFrame(rows, "n string, p string"), "n", "p")
+    docs = spark.createDataFrame([(1, "a b c"), (2, "c, A a"), (3, "a"), (4, " b  c ")], "id long, t string")
+    found = {tuple(r) for r in phrase_hits(docs, "id", "t", index).collect()}
+    assert found == {
+        (1, "p"), (1, "q"), (1, "r"), (1, "s"), (2, "s"), (2, "t"), (2, "u"), (4, "q"), (4, "s"),
+    }
+
+
+def test_texts_stay_where_they_are(spark):
+    """With terms in code no n-gram is shuffled, however large the documents; without patterns the
+    texts are read once."""
+    docs = roles.table(spark, DATA, "documents").select("doc_id", "text")
+    named = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables above it
+    try:
+        for terms in (roles.TAXONOMY, [t for t in roles.TAXONOMY if t.whole_words()]):
+            hits = phrase_hits(docs, "doc_id", "text", taxonomy_index(spark, terms))
+            plan = hits._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin [phrase" in plan and "SortMergeJoin [phrase" not in plan
+            want = tag_terms(docs, "text", terms).selectExpr("doc_id", "explode(terms) AS term")
+            assert sorted(hits.collect()) == sorted(want.collect())
+        assert plan.count("FileScan parquet") == plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", named)
