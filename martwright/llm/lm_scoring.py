@@ -47,6 +47,7 @@ PAD, UNKNOWN = 0, 1
 COUNTED = 200_000  # distinct words a task holds before it sends its counts
 BLOCK = 4096  # weights averaged together
 CHUNK = 8192  # tokens scored together
+RAISED = 60.0  # e to so much, summed over a vocabulary, is far within 32-bit numbers, and so is 1 / it
 SHARD_TOKENS = 2_000_000  # tokens of a shard, about; one longer document is not split
 MASKED_TOKENS = 250_000  # tokens of a shard that are masked together, phase after phase
 
@@ -128,7 +129,7 @@ CHARACTERS = 0x110000
 
 
 class Spelling:
-    """Log-probability of the letters of words; remembers up to COUNTED words."""
+    """Log-probability of the letters of words."""
 
     def __init__(self, trigrams: Iterable[tuple[str, int]]):
         # Per context of 2, 1 and 0 characters: how often each followed; in all, and how many kinds.
@@ -147,7 +148,6 @@ class Spelling:
         keys, steps = _packed_three(points), np.fromiter(map(self.step, self.seen[0]), float)
         order = np.argsort(keys)
         self.keys, self.steps = np.append(keys[order], -1), np.append(steps[order], 0.0)
-        self.words: dict[str, float] = {}
 
     def step(self, three: str) -> float:
         """Log-probability of the third character after the other two."""
@@ -160,9 +160,10 @@ class Spelling:
     def __getitem__(self, word: str) -> float:
         return float(self.costs([word])[0])
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > COUNTED:
-            self.words.clear()
+    def costs(self, words: list[str]) -> np.ndarray:
+        """Log-probability of each word."""
+        if not words:
+            return np.zeros(0)
         spelled = [START * 2 + w + STOP for w in words]
         points = _points("".join(spelled))
         sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
@@ -175,23 +176,44 @@ class Spelling:
         steps = self.steps[at]
         for i in np.flatnonzero(self.keys[at] != keys).tolist():
             steps[i] = self.step("".join(chr(keys[i] >> k & 0x1FFFFF) for k in (42, 21, 0)))
-        sums = common.segment_sums(steps, sizes - 2)
-        self.words.update(zip(words, sums.tolist(), strict=True))
+        return common.segment_sums(steps, sizes - 2)
 
-    def costs(self, words: list[str]) -> np.ndarray:
-        """Log-probability of each word."""
-        coded = pa.array(words, pa.string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        found = np.zeros(len(distinct))
-        for a in range(0, len(distinct), COUNTED):
-            some = distinct[a : a + COUNTED]
-            new = [w for w in some if w not in self.words]
-            if len(self.words) + len(new) > COUNTED:
-                new = some  # the others are forgotten
-            if new:
-                self._learn(new)
-            found[a : a + len(some)] = [self.words[w] for w in some]
-        return found[coded.indices.to_numpy()] if len(words) else found
+
+class Numbered(dict):
+    """Number of a word: its token, or for a word outside the vocabulary one of its own, from the
+    size of the vocabulary on, with what its letters cost. Up to COUNTED of those are kept."""
+
+    def __init__(self, words: list[str], spelling: Spelling | None):
+        self.size, self.spelling = len(words) + 2, spelling
+        self.tokens = {w: i + 2 for i, w in enumerate(words)}
+        self._restart()
+
+    def _restart(self) -> None:
+        self.clear()
+        self.update(self.tokens)
+        self.new: list[str] = []  # not spelled yet
+        self.costs = np.zeros(0)
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = self.size + len(self.costs) + len(self.new)
+        self.new.append(word)
+        return number
+
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All tokens, number per text, and what the letters of each text's words cost."""
+        if len(self.costs) > COUNTED:
+            self._restart()
+        found = [t.lower().split() for t in texts]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        words = chain.from_iterable(found)
+        flat = np.fromiter(map(self.__getitem__, words), np.int64, counts.sum())
+        new = self.spelling.costs(self.new) if self.spelling else np.zeros(len(self.new))
+        self.costs, self.new = np.concatenate([self.costs, new]), []
+        outside = np.flatnonzero(flat >= self.size)
+        costs = np.zeros(len(flat))
+        costs[outside] = self.costs[flat[outside] - self.size]
+        flat[outside] = UNKNOWN
+        return flat, counts, common.segment_sums(costs, counts)
 
 
 def _points(text: str) -> np.ndarray:
@@ -202,15 +224,6 @@ def _packed_three(points: np.ndarray) -> np.ndarray:
     return points[:, 0] << 42 | points[:, 1] << 21 | points[:, 2]
 
 
-def tokens_of(texts: list[str], tokens: Tokens) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """All tokens, number per text, and the words outside the vocabulary in order."""
-    found = [t.lower().split() for t in texts]
-    counts = np.fromiter(map(len, found), np.int64, len(found))
-    words = list(chain.from_iterable(found))
-    flat = np.fromiter(map(tokens.__getitem__, words), np.int64, len(words))
-    return flat, counts, [words[i] for i in np.flatnonzero(flat == UNKNOWN).tolist()]
-
-
 def padded_tokens(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens with SIDE paddings around each text, and the places of real ones."""
     row = np.repeat(np.arange(len(counts)), counts)
@@ -222,38 +235,39 @@ def padded_tokens(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
 
 def tokenise(texts: list[str], tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All tokens with SIDE paddings around each text, places of real ones, number per text."""
-    flat, counts, _ = tokens_of(texts, tokens)
+    found = [t.lower().split() for t in texts]
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    words = chain.from_iterable(found)
+    flat = np.fromiter(map(tokens.__getitem__, words), np.int64, counts.sum())
     return *padded_tokens(flat, counts), counts
 
 
 # -- network -------------------------------------------------------------------------------
 
 
+def _within_reach(z: np.ndarray, axis: int) -> None:
+    """Subtract the largest along an axis, where there is a number too far from 0 to be raised; a
+    softmax is the same without, and maxima of short rows cost as much as the rest of it."""
+    if max(z.max(), -z.min()) > RAISED:
+        z -= z.max(axis=axis, keepdims=True)
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     """In place, over the columns of each row."""
-    z -= z.max(axis=1, keepdims=True)
+    _within_reach(z, 1)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]
     return z
 
 
 def _log_chosen(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log-probability of the chosen row of each column; overwrites `z`."""
-    z -= z.max(axis=0)
+    _within_reach(z, 0)
     found = z[chosen, np.arange(z.shape[1])]
     np.exp(z, out=z)
     return found - np.log(z.sum(axis=0))
 
 
-def _context(padded: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return np.stack([padded[places + o] for o in PLACES], axis=1)
-
-
-def _hidden(w: Weights, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    seen = w["embed"][context].reshape(len(context), -1)
-    return seen, np.tanh(seen @ w["mix"] + w["bias"])
-
-
 def _order(values: np.ndarray, limit: int) -> np.ndarray:
     """Stable order of values below a limit; short integers are sorted by their digits."""
     return np.argsort(values.astype(np.uint16) if limit <= 1 << 16 else values, kind="stable")
@@ -267,19 +281,28 @@ def _cuts(group: np.ndarray, classes: int) -> list[int]:
 def log_probabilities(w: Weights, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Log-probability of the token at each place, given those on both sides."""
     classes, _, per_class = w["inner"].shape
+    # What a token adds to the hidden layer at each of the places beside.
+    added = [w["embed"] @ mix for mix in np.split(w["mix"], len(PLACES))]
     out = np.empty(len(places))
     for a in range(0, len(places), CHUNK):
         own = places[a : a + CHUNK]
         order = _order(padded[own], len(w["embed"]))
         own = own[order]
         group, member = padded[own] // per_class, padded[own] % per_class
-        h = np.ascontiguousarray(_hidden(w, _context(padded, own))[1].T)
-        part = _log_chosen(w["outer"].T @ h + w["outer_bias"][:, None], group)
+        total = added[0].take(padded[own + PLACES[0]], axis=0)
+        for rows, o in zip(added[1:], PLACES[1:], strict=True):
+            total += rows.take(padded[own + o], axis=0)
+        total += w["bias"]
+        h = np.ascontiguousarray(np.tanh(total, out=total).T)
+        z = w["outer"].T @ h
+        z += w["outer_bias"][:, None]
+        part = _log_chosen(z, group)
         z = np.empty((per_class, len(own)), h.dtype)
         cuts = _cuts(group, classes)
         for c, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if e > s:
-                z[:, s:e] = w["inner"][c].T @ h[:, s:e] + w["inner_bias"][c][:, None]
+                z[:, s:e] = w["inner"][c].T @ h[:, s:e]
+                z[:, s:e] += w["inner_bias"][c][:, None]
         out[a + order] = part + _log_chosen(z, member)
     return out
 
@@ -291,10 +314,12 @@ class Trainer:
         self.w, self.params = {n: x.copy() for n, x in weights.items()}, params
         self.seen = {n: np.full(x.shape, 1e-4, np.float32) for n, x in weights.items()}
 
-    def _move(self, name: str, grad: np.ndarray, rows=slice(None)) -> None:
-        seen = self.seen[name][rows] + grad * grad
-        self.seen[name][rows] = seen
-        self.w[name][rows] -= self.params.rate * grad / np.sqrt(seen)
+    def _move(self, name: str, grad: np.ndarray) -> None:
+        seen = self.seen[name]
+        seen += grad * grad
+        grad *= self.params.rate
+        grad /= np.sqrt(seen)
+        self.w[name] -= grad
 
     def step(self, padded: np.ndarray, places: np.ndarray) -> None:
         w, n, params = self.w, len(places), self.params
@@ -302,10 +327,14 @@ class Trainer:
         places = places[_order(padded[places], params.size)]
         group, member = padded[places] // params.per_class, padded[places] % params.per_class
         rows = np.arange(n)
-        context = _context(padded, places)
-        seen, h = _hidden(w, context)
-        d_outer = _softmax(h @ w["outer"] + w["outer_bias"])
-        d_outer[rows, group] -= 1
+        context = np.stack([padded[places + o] for o in PLACES], axis=1).ravel()
+        seen = w["embed"].take(context, axis=0).reshape(n, -1)
+        h = seen @ w["mix"]
+        h += w["bias"]
+        np.tanh(h, out=h)
+        d_outer = h @ w["outer"]
+        d_outer += w["outer_bias"]
+        _softmax(d_outer)[rows, group] -= 1
         d_h = d_outer @ w["outer"].T
         cuts = _cuts(group, params.classes)
         used = [c for c in range(params.classes) if cuts[c + 1] > cuts[c]]
@@ -314,27 +343,27 @@ class Trainer:
             own = slice(cuts[c], cuts[c + 1])
             np.matmul(h[own], w["inner"][c], out=d[own])
             d[own] += w["inner_bias"][c]
-        d = _softmax(d)
-        d[rows, member] -= 1
-        d_inner = np.empty((len(used), *w["inner"].shape[1:]), h.dtype)
-        for i, c in enumerate(used):
+        _softmax(d)[rows, member] -= 1
+        d_inner, d_inner_bias = np.zeros_like(w["inner"]), np.zeros_like(w["inner_bias"])
+        for c in used:
             own = slice(cuts[c], cuts[c + 1])
             d_h[own] += d[own] @ w["inner"][c].T
-            np.matmul(h[own].T, d[own], out=d_inner[i])
-        self._move("inner", d_inner / n, used)
-        sizes = np.diff(cuts)[used]
-        self._move("inner_bias", common.segment_sums(d, sizes) / n, used)
-        d_z = d_h * (1 - h * h)
-        d_seen = (d_z @ w["mix"].T / n).reshape(-1, params.width)
+            np.matmul(h[own].T, d[own], out=d_inner[c])
+            np.matmul(np.ones(cuts[c + 1] - cuts[c], d.dtype), d[own], out=d_inner_bias[c])
+        d_z = np.subtract(1, h * h)
+        d_z *= d_h
+        d_seen = (d_z @ w["mix"].T).reshape(-1, params.width)
+        by = _order(context, params.size)
+        counts = np.bincount(context, minlength=params.size)
+        d_embed = common.segment_sums(d_seen.take(by, axis=0), counts)
+        every = np.ones(n, h.dtype)
+        self._move("inner", d_inner / n)
+        self._move("inner_bias", d_inner_bias / n)
         self._move("outer", h.T @ d_outer / n)
-        self._move("outer_bias", d_outer.sum(axis=0) / n)
+        self._move("outer_bias", every @ d_outer / n)
         self._move("mix", seen.T @ d_z / n)
-        self._move("bias", d_z.sum(axis=0) / n)
-        context = context.ravel()
-        by = _order(context, params.size)
-        counts = np.bincount(context)
-        found = np.flatnonzero(counts)
-        self._move("embed", common.segment_sums(d_seen[by], counts[found]), found)
+        self._move("bias", every @ d_z / n)
+        self._move("embed", d_embed / n)
 
 
 # -- Spark ---------------------------------------------------------------------------------
@@ -429,19 +458,16 @@ def encode(
 
     def make():
         words, trigrams = shared.value
-        tokens, spelling = Tokens(words), None if trigrams is None else Spelling(trigrams)
+        numbered = Numbered(words, None if trigrams is None else Spelling(trigrams))
 
         def work(texts):
             texts, ids, spelled = common.texts_of(texts), [], []
             for a, b in common.slices(texts):
-                flat, counts, outside = tokens_of(texts[a:b], tokens)
+                flat, counts, costs = numbered.cut(texts[a:b])
                 ends = np.cumsum(counts)
                 flat16 = flat.astype("<u2")
                 ids += [flat16[e - n : e].tobytes() for n, e in zip(counts, ends, strict=True)]
-                costs = np.zeros(len(flat))
-                if spelling is not None and outside:
-                    costs[flat == UNKNOWN] = spelling.costs(outside)
-                spelled.append(common.segment_sums(costs, counts))
+                spelled.append(costs)
             sums = np.concatenate(spelled) if spelled else np.zeros(0)
             return [pa.array(ids, pa.binary()), pa.array(sums, pa.float64())]
 

@@ -194,3 +194,41 @@ def test_log_prob_is_that_of_a_full_softmax(spark):
                         letters[three] = np.log(letter(three))
                     total += letters[three]
         assert abs(total - r["log_prob"]) < 1e-4 * max(1, abs(total))
+
+
+def test_softmax_of_near_and_far_numbers():
+    rng = np.random.default_rng(4)
+    for scale in (1, 30, 1e4):
+        for shape in ((7, 48), (1, 1), (5, 3)):
+            z = (rng.normal(0, 1, shape) * scale).astype(np.float32)
+            z[0] -= 2 * scale  # a row far below the others
+            x = z.astype(float)
+            logs = x - x.max(axis=1, keepdims=True)
+            logs -= np.log(np.exp(logs).sum(axis=1, keepdims=True))
+            assert np.allclose(lm._softmax(z.copy()), np.exp(logs), atol=1e-5)
+            chosen = rng.integers(0, shape[1], shape[0])
+            got = lm._log_chosen(np.ascontiguousarray(z.T), chosen)
+            assert np.allclose(got, logs[np.arange(len(z)), chosen], rtol=1e-5, atol=1e-4)
+
+
+def test_words_outside_are_numbered_once(monkeypatch):
+    """Repeated words are not spelled again while they are kept, and what is kept is bounded."""
+    texts = ["a B zz yy zz", "", "zz a xx", "yy yy ww vv", "zz"]
+    spelling = lm.Spelling([("\n\nz", 3), ("\nzz", 2), ("zz ", 2), ("\n\ny", 1)])
+    known = {w: i + 2 for i, w in enumerate(["a", "b"])}
+    letters = {w: spelling[w] for w in ("zz", "yy", "xx", "ww", "vv")}
+    asked, costs = [], spelling.costs
+    monkeypatch.setattr(spelling, "costs", lambda words: asked.extend(words) or costs(words))
+    for limit in (0, 1, 200_000):
+        monkeypatch.setattr(lm, "COUNTED", limit)
+        numbered = lm.Numbered(["a", "b"], spelling)
+        asked.clear()
+        for part in (texts[:3], texts[3:4], texts[4:], []):
+            flat, counts, sums = numbered.cut(part)
+            words = [t.lower().split() for t in part]
+            assert flat.tolist() == [known.get(w, lm.UNKNOWN) for ws in words for w in ws]
+            assert counts.tolist() == [len(ws) for ws in words]
+            assert np.allclose(sums, [sum(letters.get(w, 0) for w in ws) for ws in words])
+            assert len(numbered) <= 2 + limit + 4
+        if limit > 9:
+            assert sorted(asked) == sorted(letters)
